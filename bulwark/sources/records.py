@@ -80,7 +80,7 @@ def scan_text_files(spark: SparkSession, folder: str) -> DataFrame:
         F.regexp_extract(path, r"([^/]+)$", 1),
     )
     files = (
-        spark.read.option("wholetext", True).option("pathGlobFilter", "*.txt")
-        .option("recursiveFileLookup", True).text(folder)
+        spark.read.option("pathGlobFilter", "*.txt").option("recursiveFileLookup", True)
+        .text(folder, wholetext=True)
     )
     return files.select(name.alias("document"), F.col("value").alias("full_text"))
