@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from bulwark.functions.seeded import SEED, let, pick, seeded_md5, stratified_draw, uniform
-from bulwark.functions.text import sentences, words
+from bulwark.functions.text import SPACE, sentences, words
 
 # Look-alike characters.
 HOMOGLYPHS = {
@@ -65,10 +65,12 @@ PRESERVED = (
     "command", "control", "execute", "payload", "persistence",
 )
 
-LETTERS = r"^\p{L}+$"
 ALPHABET = "abcdefghijklmnopqrstuvwxyz"
 EDGE_MARKS = r"^[.,!?;:]+|[.,!?;:]+$"
 
+# Characters per block when places in a text are counted.
+BLOCK = 256
+
 
 def literal_map(table: dict) -> Column:
     """A map literal for the small fixed tables above."""
@@ -83,16 +85,30 @@ def _tag(name: str, i: Column) -> Column:
     return F.concat(F.lit(name + "-"), i.cast("string"))
 
 
-def _replace_words(ws: Column, targets: Column, new_word) -> Column:
-    """Join the words again, those at the target indexes replaced."""
-    changed = F.transform(
-        ws, lambda w, i: F.when(F.array_contains(targets, i), new_word(w, i)).otherwise(w)
-    )
-    return F.array_join(changed, " ")
+def word_starts(text: Column, eligible: str, limit: int = -1) -> Column:
+    """The text, whitespace collapsed, cut in front of every word that matches `eligible`.
+
+    The first piece is what comes before the first such word; every further piece starts with one.
+    One regular expression finds the words, so no piece is built for the others.
+    """
+    one_line = F.concat(F.lit(" "), F.trim(F.regexp_replace(text, SPACE + "+", " ")))
+    return F.split(one_line, rf"(?<= )(?={eligible}(?![^ ]))", limit)
+
+
+def first_word(piece: Column) -> Column:
+    return F.substring_index(piece, " ", 1)
+
 
+def join_pieces(pieces: Column, new_word) -> Column:
+    """Put the pieces together again; `new_word(word, rank)` replaces a word unless it is NULL."""
 
-def _indexes(ws: Column, keep) -> Column:
-    return F.filter(F.transform(ws, lambda w, i: F.when(keep(w), i)), lambda i: i.isNotNull())
+    def changed(piece: Column, k: Column) -> Column:
+        old = first_word(piece)
+        new = new_word(old, k - 1)
+        return F.when(k > 0, F.coalesce(
+            F.concat(new, F.substring(piece, F.length(old) + 1, F.length(piece))), piece)).otherwise(piece)
+
+    return let(F.array_join(F.transform(pieces, changed), ""), lambda t: F.substring(t, F.lit(2), F.length(t)))
 
 
 def noise_mix(text: Column, row_id: Column, level: float = 0.15, seed: int = SEED) -> Column:
@@ -108,52 +124,80 @@ def noise_mix(text: Column, row_id: Column, level: float = 0.15, seed: int = SEE
     return let(uniform(row_id, "mix", seed), mixed)
 
 
+def _blocks(text: Column, overlap: int) -> Column:
+    """The text in pieces of BLOCK characters, each with `overlap` characters of the next one."""
+    last = F.floor(F.greatest(F.length(text) - 1, F.lit(0)) / BLOCK).cast("int")
+    return F.transform(
+        F.sequence(F.lit(0), last), lambda i: F.substring(text, i * BLOCK + 1, F.lit(BLOCK + overlap)))
+
+
+def _edit_places(text: Column, row_id: Column, name: str, n: int, seed: int, runs: str, filler: str,
+                 cut: str, edit) -> Column:
+    """Apply `edit(current text, place, rank)` at `n` drawn places; a place is a position from 1.
+
+    The places of a block number length(block) - length(block with each run replaced by `filler`),
+    so one pass over the text counts them all. Only blocks that hold a drawn place are `cut` into
+    single places.
+    """
+    overlap = len(filler)
+
+    def with_counts(blocks: Column) -> Column:
+        counts = F.transform(blocks, lambda b: F.length(b) - F.length(F.regexp_replace(b, runs, filler)))
+        return F.struct(blocks.alias("blocks"), counts.alias("counts"))
+
+    def place(b: Column, rank: Column) -> Column:
+        start = F.struct(rank.alias("left"), F.lit(0).alias("block"), F.lit(False).alias("found"))
+
+        def look(acc: Column, k: Column) -> Column:
+            found = acc["found"] | (acc["left"] < k)
+            return F.struct(
+                F.when(found, acc["left"]).otherwise(acc["left"] - k).alias("left"),
+                F.when(found, acc["block"]).otherwise(acc["block"] + 1).alias("block"),
+                found.alias("found"),
+            )
+
+        def inside(at: Column) -> Column:
+            pieces = F.split(F.get(b["blocks"], at["block"]), cut, at["left"] + 2)
+            head = F.aggregate(F.slice(pieces, F.lit(1), at["left"] + 1), F.lit(0), lambda a, x: a + F.length(x))
+            return at["block"] * BLOCK + head
+
+        return let(F.aggregate(b["counts"], start, look), inside)
+
+    def edited(b: Column) -> Column:
+        total = F.aggregate(b["counts"], F.lit(0), lambda a, k: a + k)
+        drawn = stratified_draw(row_id, name, total, n, seed)
+        return F.aggregate(
+            drawn, text, lambda t, rank: let(place(b, rank), lambda p: edit(t, p, rank)))
+
+    return let(let(_blocks(text, overlap), with_counts), edited)
+
+
 def char_swap(text: Column, row_id: Column, n: int = 2, seed: int = SEED) -> Column:
     """Swap `n` pairs of neighbouring letters."""
 
-    def swapped(segments: Column) -> Column:
-        # Every cut between two segments lies between two letters.
-        cuts = stratified_draw(row_id, "swap", F.size(segments) - 1, n, seed)
-        left_of = F.transform(
-            cuts,
-            lambda j: F.aggregate(F.slice(segments, F.lit(1), j + 1), F.lit(0), lambda a, s: a + F.length(s)),
-        )
-        return F.aggregate(
-            left_of,
-            text,
-            lambda t, p: F.concat(
-                F.substring(t, F.lit(1), p - 1),
-                F.substring(t, p + 1, F.lit(1)),
-                F.substring(t, p, F.lit(1)),
-                F.substring(t, p + 2, F.length(t)),
-            ),
+    def swap(t: Column, p: Column, rank: Column) -> Column:
+        return F.concat(
+            F.substring(t, F.lit(1), p - 1),
+            F.substring(t, p + 1, F.lit(1)),
+            F.substring(t, p, F.lit(1)),
+            F.substring(t, p + 2, F.length(t)),
         )
 
-    return let(F.split(text, r"(?<=\p{L})(?=\p{L})"), swapped)
+    # A run of k letters holds k - 1 pairs; a pair may reach into the next block.
+    return _edit_places(text, row_id, "swap", n, seed, r"\p{L}+", ".", r"(?<=\p{L})(?=\p{L})", swap)
 
 
 def _replace_chars(text: Column, row_id: Column, name: str, chars: str, n: int, seed: int, new_char):
-    """Replace `n` characters of a class. The text is cut behind each eligible character."""
-
-    def replaced(segments: Column) -> Column:
-        def body(drawn: Column) -> Column:
-            return F.array_join(
-                F.transform(
-                    segments,
-                    lambda s, i: F.when(
-                        F.array_contains(drawn, i),
-                        F.concat(
-                            F.substring(s, F.lit(1), F.length(s) - 1),
-                            new_char(F.right(s, F.lit(1)), i),
-                        ),
-                    ).otherwise(s),
-                ),
-                "",
-            )
+    """Replace `n` characters of a class."""
 
-        return let(stratified_draw(row_id, name, F.size(segments) - 1, n, seed), body)
+    def replace(t: Column, p: Column, rank: Column) -> Column:
+        return F.concat(
+            F.substring(t, F.lit(1), p - 1),
+            new_char(F.substring(t, p, F.lit(1)), rank),
+            F.substring(t, p + 1, F.length(t)),
+        )
 
-    return let(F.split(text, f"(?<=[{chars}])"), replaced)
+    return _edit_places(text, row_id, name, n, seed, f"[{chars}]+", "", f"(?<=[{chars}])", replace)
 
 
 def homoglyph(text: Column, row_id: Column, n: int = 3, seed: int = SEED) -> Column:
@@ -185,38 +229,37 @@ def keyboard_typo(text: Column, row_id: Column, n: int = 2, seed: int = SEED) ->
     return _replace_chars(text, row_id, "keyboard", "a-zA-Z", n, seed, new_char)
 
 
+def letters(min_len: int) -> str:
+    return rf"\p{{L}}{{{min_len},}}+"
+
+
+# Words a synonym attack may touch.
+REPLACEABLE = rf"(?!(?i:{'|'.join(STOP_WORDS)})(?![^ ]))" + letters(4)
+
+
+def _edit_first(text: Column, eligible: str, n: int, new_word) -> Column:
+    return join_pieces(word_starts(text, eligible, n + 1), new_word)
+
+
 def char_delete(text: Column, row_id: Column, n: int = 2, min_len: int = 5, seed: int = SEED) -> Column:
     """Delete one inner character in each of the first `n` alphabetic words of `min_len` or more."""
 
-    def shorter(w: Column, i: Column) -> Column:
-        at = pick(row_id, _tag("delete", i), F.length(w) - 2, seed) + 1
+    def shorter(w: Column, rank: Column) -> Column:
+        at = pick(row_id, _tag("delete", rank), F.length(w) - 2, seed) + 1
         return F.concat(F.substring(w, F.lit(1), at), F.substring(w, at + 2, F.length(w)))
 
-    def body(ws: Column) -> Column:
-        first = F.slice(_indexes(ws, lambda w: (F.length(w) >= min_len) & w.rlike(LETTERS)), 1, n)
-        return let(first, lambda targets: _replace_words(ws, targets, shorter))
-
-    return let(words(text), body)
+    return _edit_first(text, letters(min_len), n, shorter)
 
 
 def char_insert(text: Column, row_id: Column, n: int = 2, min_len: int = 4, seed: int = SEED) -> Column:
     """Insert one letter into each of the first `n` alphabetic words of `min_len` or more."""
 
-    def longer(w: Column, i: Column) -> Column:
-        at = pick(row_id, _tag("insert", i), F.length(w) - 1, seed) + 1
-        letter = F.substring(F.lit(ALPHABET), pick(row_id, _tag("letter", i), 26, seed) + 1, F.lit(1))
+    def longer(w: Column, rank: Column) -> Column:
+        at = pick(row_id, _tag("insert", rank), F.length(w) - 1, seed) + 1
+        letter = F.substring(F.lit(ALPHABET), pick(row_id, _tag("letter", rank), 26, seed) + 1, F.lit(1))
         return F.concat(F.substring(w, F.lit(1), at), letter, F.substring(w, at + 1, F.length(w)))
 
-    def body(ws: Column) -> Column:
-        first = F.slice(_indexes(ws, lambda w: (F.length(w) >= min_len) & w.rlike(LETTERS)), 1, n)
-        return let(first, lambda targets: _replace_words(ws, targets, longer))
-
-    return let(words(text), body)
-
-
-def replaceable(w: Column, min_len: int = 4) -> Column:
-    """Whether a synonym attack may touch the word."""
-    return (F.length(w) >= min_len) & w.rlike(LETTERS) & ~F.lower(w).isin(*STOP_WORDS)
+    return _edit_first(text, letters(min_len), n, longer)
 
 
 def same_case(new: Column, old: Column) -> Column:
@@ -226,14 +269,14 @@ def same_case(new: Column, old: Column) -> Column:
     return F.when((F.upper(first) == first) & (F.lower(first) != first), capital).otherwise(new)
 
 
-def synonym_targets(ws: Column, row_id: Column, n: int, seed: int) -> Column:
-    """Word indexes a synonym attack picks."""
-    return let(
-        _indexes(ws, replaceable),
-        lambda e: F.transform(
-            stratified_draw(row_id, "synonym", F.size(e), n, seed), lambda j: F.get(e, j)
-        ),
-    )
+def chosen_ranks(pieces: Column, row_id: Column, n: int, seed: int) -> Column:
+    """Which of the replaceable words a synonym attack picks."""
+    return stratified_draw(row_id, "synonym", F.size(pieces) - 1, n, seed)
+
+
+def chosen_synonym(options: Column, word: Column, row_id: Column, rank: Column, seed: int) -> Column:
+    one = F.get(options, pick(row_id, _tag("word", rank), F.size(options), seed))
+    return F.when(F.size(options) > 0, same_case(one, word))
 
 
 def synonym(text: Column, row_id: Column, synonyms: Column, n: int = 3, seed: int = SEED) -> Column:
@@ -242,20 +285,18 @@ def synonym(text: Column, row_id: Column, synonyms: Column, n: int = 3, seed: in
     For dictionaries without a size bound see operators.corpus.substitute_words.
     """
 
-    def new_word(w: Column, i: Column) -> Column:
-        def chosen(options: Column) -> Column:
-            one = F.get(options, pick(row_id, _tag("word", i), F.size(options), seed))
-            return F.when(F.size(options) > 0, same_case(one, w)).otherwise(w)
+    def body(pieces: Column) -> Column:
+        def with_ranks(ranks: Column) -> Column:
+            def new_word(w: Column, rank: Column) -> Column:
+                found = let(F.try_element_at(synonyms, F.lower(w)),
+                            lambda options: chosen_synonym(options, w, row_id, rank, seed))
+                return F.when(F.array_contains(ranks, rank), found)
 
-        return F.coalesce(let(F.try_element_at(synonyms, F.lower(w)), chosen), w)
+            return F.when(F.size(ranks) > 0, join_pieces(pieces, new_word)).otherwise(text)
 
-    def body(ws: Column) -> Column:
-        return let(
-            synonym_targets(ws, row_id, n, seed),
-            lambda targets: F.when(F.size(targets) > 0, _replace_words(ws, targets, new_word)).otherwise(text),
-        )
+        return let(chosen_ranks(pieces, row_id, n, seed), with_ranks)
 
-    return let(words(text), body)
+    return let(word_starts(text, REPLACEABLE), body)
 
 
 def combined(text: Column, row_id: Column, synonyms: Column, seed: int = SEED) -> Column:
@@ -303,20 +344,13 @@ def augment_synonym(text: Column, row_id: Column, n: int = 3, seed: int = SEED)
     """
     table = literal_map(DOMAIN_SYNONYMS)
 
-    def bare(w: Column) -> Column:
-        return F.regexp_replace(F.lower(w), EDGE_MARKS, "")
-
-    def new_word(w: Column, i: Column) -> Column:
+    def new_word(w: Column, rank: Column) -> Column:
         return let(
-            F.try_element_at(table, bare(w)),
-            lambda options: F.get(options, pick(row_id, _tag("augment", i), F.size(options), seed)),
+            F.try_element_at(table, F.regexp_replace(F.lower(w), EDGE_MARKS, "")),
+            lambda options: F.get(options, pick(row_id, _tag("augment", rank), F.size(options), seed)),
         )
 
-    def body(ws: Column) -> Column:
-        first = F.slice(_indexes(ws, lambda w: bare(w).isin(*DOMAIN_SYNONYMS)), 1, n)
-        return let(first, lambda targets: _replace_words(ws, targets, new_word))
-
-    return let(words(text), body)
+    return _edit_first(text, rf"[.,!?;:]*+(?i:{'|'.join(DOMAIN_SYNONYMS)})[.,!?;:]*+", n, new_word)
 
 
 def augment_delete(text: Column, row_id: Column, p: float = 0.1, seed: int = SEED) -> Column:

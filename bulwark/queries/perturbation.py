@@ -7,6 +7,7 @@ from bulwark.operators import corpus
 from bulwark.queries import views
 from bulwark.queries.registry import query
 from bulwark.queries.views import u_sql
+from bulwark.session import spread
 
 SP = r"[\s\x0B\x1C-\x1F\x85\p{Z}]"
 WORDS = f"list_filter(regexp_split_to_array(t, '{SP}+'), lambda w: w <> '')"
@@ -78,13 +79,13 @@ def _words_sql(src, n, min_len, new_word):
 
 
 def delete_sql(src, n=2):
-    at = f"({pick_sql('delete', 'i - 1', '(length(w) - 2)')} + 1)"
+    at = f"({pick_sql('delete', 'list_position(targets, i) - 1', '(length(w) - 2)')} + 1)"
     return _words_sql(src, n, 5, f"concat(left(w, {at}), substring(w, {at} + 2))")
 
 
 def insert_sql(src, n=2):
-    at = f"({pick_sql('insert', 'i - 1', '(length(w) - 1)')} + 1)"
-    letter = f"substring('{perturb.ALPHABET}', {pick_sql('letter', 'i - 1', '26')} + 1, 1)"
+    at = f"({pick_sql('insert', 'list_position(targets, i) - 1', '(length(w) - 1)')} + 1)"
+    letter = f"substring('{perturb.ALPHABET}', {pick_sql('letter', 'list_position(targets, i) - 1', '26')} + 1, 1)"
     return _words_sql(src, n, 4, f"concat(left(w, {at}), {letter}, substring(w, {at} + 1))")
 
 
@@ -93,7 +94,7 @@ _REPLACEABLE = (rf"length(x) >= 4 AND regexp_full_match(x, '\p{{L}}+') AND lower
 
 def synonym_sql(src, n=3):
     options = "map_extract(syn, lower(w))[1]"
-    one = f"({options})[{pick_sql('word', 'i - 1', f'len({options})')} + 1]"
+    one = f"({options})[{pick_sql('word', 'list_position(elig, i) - 1', f'len({options})')} + 1]"
     capital = f"concat(upper({one}[1]), lower(substring({one}, 2)))"
     old = "upper(w[1]) = w[1] AND lower(w[1]) <> w[1]"
     return rf"""
@@ -117,7 +118,7 @@ def augment_synonym_sql(src, n=3):
          e AS (SELECT *, [i FOR i IN range(1, len(ws) + 1) IF {bare.format('ws[i]')} IN ({quoted(perturb.DOMAIN_SYNONYMS)})][1:{n}]
                          AS targets FROM w)
     SELECT doc_id, rid, array_to_string(list_transform(ws, lambda w, i:
-             CASE WHEN list_contains(targets, i) THEN {options}[{pick_sql('augment', 'i - 1', f'len({options})')} + 1]
+             CASE WHEN list_contains(targets, i) THEN {options}[{pick_sql('augment', 'list_position(targets, i) - 1', f'len({options})')} + 1]
                   ELSE w END), ' ') AS t FROM e"""
 
 
@@ -172,7 +173,7 @@ views.SQL["v_a_shuffle"] = augment_shuffle_sql("v_copy_text")
 
 
 def texts(spark, sf):
-    return views.docs(spark, sf).select("doc_id", "full_text")
+    return spread(views.docs(spark, sf).select("doc_id", "full_text"), "doc_id")
 
 
 def dictionary(spark, sf):

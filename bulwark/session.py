@@ -50,3 +50,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint, which outlives lost executors."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give costly text work all cores when a file scan has fewer partitions than there are cores.
+
+    A table of a few big row groups scans in as few tasks. A scan of many files is left as it is.
+    Only for plain scans: counting partitions of a plan with shuffles would run them.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
