@@ -161,18 +161,20 @@ def clean_text(c: Column) -> Column:
     return F.when(c.isNull(), F.lit("")).otherwise(let(full, safe))
 
 
+def _whole_word(w: str) -> str:
+    return rf"{w}(?<!{WORD_CHAR}{w})(?!{WORD_CHAR})"
+
+
 def normalize_text(c: Column, straighten_quotes: bool = False) -> Column:
     """Dashes to '-', then each abbreviation followed by its expansion, in fixed order."""
     t = F.translate(F.coalesce(c, F.lit("")), "–—", "--")
     if straighten_quotes:
         t = F.translate(t, "“”‘’", "\"\"''")
-    return reduce(
-        lambda s, a: F.regexp_replace(
-            s, rf"(?i)(?<!{WORD_CHAR}){a[0]}(?!{WORD_CHAR})", f"{a[0]} ({a[1]})"
-        ),
-        ABBREVIATIONS,
-        t,
-    )
+    expanded = reduce(
+        lambda s, a: F.regexp_replace(s, "(?i)" + _whole_word(a[0]), f"{a[0]} ({a[1]})"), ABBREVIATIONS, t)
+    # Most texts hold none of them: one search spares those the replacements.
+    any_of = "(?i)" + "|".join(_whole_word(a) for a, _ in ABBREVIATIONS)
+    return let(t, lambda x: F.when(x.rlike(any_of), expanded).otherwise(x))
 
 
 def truncate_head(c: Column, n: int = MAX_CHARS) -> Column:

@@ -7,7 +7,6 @@ from bulwark.operators import corpus
 from bulwark.queries import views
 from bulwark.queries.registry import query
 from bulwark.queries.views import u_sql
-from bulwark.session import spread
 
 SP = r"[\s\x0B\x1C-\x1F\x85\p{Z}]"
 WORDS = f"list_filter(regexp_split_to_array(t, '{SP}+'), lambda w: w <> '')"
@@ -172,8 +171,7 @@ views.SQL["v_a_delete"] = augment_delete_sql("v_copy_text")
 views.SQL["v_a_shuffle"] = augment_shuffle_sql("v_copy_text")
 
 
-def texts(spark, sf):
-    return spread(views.docs(spark, sf).select("doc_id", "full_text"), "doc_id")
+texts = views.texts
 
 
 def dictionary(spark, sf):

@@ -151,7 +151,7 @@ def clean_text(spark, sf):
     WITH t AS (SELECT doc_id, full_text AS clean_text FROM v_docs)
     SELECT doc_id, {NORMALIZE_SQL} AS norm_text FROM t""")
 def normalize_text(spark, sf):
-    return views.docs(spark, sf).select("doc_id", tx.normalize_text(F.col("full_text")).alias("norm_text"))
+    return views.texts(spark, sf).select("doc_id", tx.normalize_text(F.col("full_text")).alias("norm_text"))
 
 
 @query("truncate_head", "SELECT doc_id, left(full_text, 4000) AS cut FROM v_docs")
@@ -187,7 +187,7 @@ _HITS = " + ".join(f"contains(lower(s), '{k}')::INTEGER" for k in tx.KEYWORDS)
     SELECT d.doc_id, CASE WHEN length(full_text) <= 4000 THEN full_text ELSE coalesce(cut, left(full_text, 4000)) END AS cut
     FROM v_docs d LEFT JOIN kept USING (doc_id)""")
 def truncate_important(spark, sf):
-    return views.docs(spark, sf).select("doc_id", tx.truncate_important(F.col("full_text")).alias("cut"))
+    return views.texts(spark, sf).select("doc_id", tx.truncate_important(F.col("full_text")).alias("cut"))
 
 
 @query("preview_text", "SELECT doc_id, concat(left(full_text, 200), '...') AS preview FROM v_docs")

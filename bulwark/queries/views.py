@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from bulwark.functions import vectors
 from bulwark.functions.seeded import uniform
 from bulwark.operators import records
+from bulwark.session import spread
 
 STRATEGIES = ("entropy", "margin", "random")
 ATTACKS = ("synonym", "char_swap", "homoglyph", "keyboard_typo", "char_deletion")
@@ -34,6 +35,11 @@ def docs(spark, sf) -> DataFrame:
     )
 
 
+def texts(spark, sf) -> DataFrame:
+    """Whole documents for costly text work, on all cores."""
+    return spread(docs(spark, sf).select("doc_id", "full_text"), "doc_id")
+
+
 def labelled(spark, sf) -> DataFrame:
     """Trimmed documents, labelled by source: the 15 largest of the training split, else OTHER."""
     d = records.trim_nonempty(docs(spark, sf))
@@ -88,8 +94,9 @@ def links(spark, sf) -> DataFrame:
 
 def raw_texts(spark, sf) -> DataFrame:
     """Documents and pages, the latter with markup, links and paths."""
-    d = table(spark, sf, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), "text")
-    p = table(spark, sf, "pages").select(
+    d = spread(table(spark, sf, "documents"), "doc_id").select(
+        F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), "text")
+    p = spread(table(spark, sf, "pages"), "page_id").select(
         F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("id"),
         F.concat_ws(" ", "html", "url").alias("text"),
     )
