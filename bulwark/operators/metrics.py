@@ -31,20 +31,25 @@ def class_weights(df: DataFrame, label: str, num_classes: int) -> DataFrame:
         "class", F.coalesce(balanced(s["total"], s["k"], F.col("n")), F.lit(1.0)).alias("weight"))
 
 
-def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """(label, prediction, n) on the whole grid of classes that occur.
+def confusion_counts(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    return df.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(F.count("*").alias("n"))
+
 
-    The grid comes from the counts (at most classes squared rows): every occurring pair of a class
-    as label and as prediction is added with 0.
+def confusion_grid(counts: DataFrame) -> DataFrame:
+    """Counts on the whole grid of classes that occur, 0 where a pair does not.
+
+    The grid comes from the counts, at most classes squared rows.
     """
-    counts = df.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(
-        F.count("*").alias("n"))
     classes = counts.agg(F.array_sort(F.array_union(F.collect_set("label"), F.collect_set("prediction"))).alias("c"))
     grid = classes.select(F.explode("c").alias("label"), "c").select("label", F.explode("c").alias("prediction"))
     return grid.join(counts, ["label", "prediction"], "left").select(
         "label", "prediction", F.coalesce("n", F.lit(0)).alias("n"))
 
 
+def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    return confusion_grid(confusion_counts(df, label, prediction))
+
+
 def confusion_normalized(matrix: DataFrame) -> DataFrame:
     row = F.sum("n").over(Window.partitionBy("label"))
     return matrix.select("label", "prediction", ratio(F.col("n"), row).alias("share"))
@@ -64,7 +69,7 @@ def per_class_scores(matrix: DataFrame) -> DataFrame:
     )).alias("s")).select("s.*")
     c = sides.groupBy("label").agg(*[F.sum(x).alias(x) for x in ("tp", "fp", "fn")])
     tp, fp, fn, tn = (F.col(x) for x in ("tp", "fp", "fn", "tn"))
-    total = matrix.agg(F.sum("n").alias("t")).scalar()
+    total = F.sum(tp + fn).over(Window.partitionBy())  # one row per class
     return c.withColumn("tn", total - tp - fp - fn).select(
         "label", "tp", "fp", "fn", "tn",
         ratio(tp, tp + fp).alias("precision"), ratio(tp, tp + fn).alias("recall"),
@@ -97,14 +102,14 @@ SUMMARY = ("accuracy", "balanced_accuracy", "f1_macro", "f1_weighted", "f1_micro
            "precision_weighted", "recall_macro", "recall_weighted")
 
 
-def classification_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction",
-                           per_class: bool = True) -> DataFrame:
-    """(metric, value), from one pass over the predictions."""
+def summary_metrics(scores: DataFrame) -> DataFrame:
+    return _summary(scores).unpivot([], list(SUMMARY), "metric", "value")
+
+
+def classification_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """(metric, value), with one f1_<class> row per class."""
     scores = per_class_scores(confusion_matrix(df, label, prediction))
-    long = _summary(scores).unpivot([], list(SUMMARY), "metric", "value")
-    if not per_class:
-        return long
-    return long.unionByName(scores.select(
+    return summary_metrics(scores).unionByName(scores.select(
         F.concat(F.lit("f1_"), F.col("label").cast("string")).alias("metric"), F.col("f1").alias("value")))
 
 

@@ -10,6 +10,7 @@ from bulwark.functions.perturb import augment_random
 from bulwark.functions.seeded import SEED
 from bulwark.operators import joins, records
 from bulwark.operators import selection as sel
+from bulwark.session import checkpointed
 
 
 def _train_and_rest(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -50,7 +51,8 @@ def prep_enhanced(
         body = tx.normalize_text(tx.clean_text(body))
     prepared = texts.withColumn("full_text", body).withColumn(
         "full_text", tx.TRUNCATIONS[strategy](F.col("full_text")))
-    df = label_and_encode(joins.align_text(labels, prepared, row_id), top_k)
+    # Cleaned once: capping, filling and the other splits all read this table.
+    df = checkpointed(label_and_encode(joins.align_text(labels, prepared, row_id), top_k))
     train, rest = _train_and_rest(df)
     balanced = sel.balance_classes(train, row_id, at_least=at_least, at_most=at_most, augment=augment, seed=seed)
     out = balanced.unionByName(rest.withColumns({"copy": F.lit(0), "is_augmented": F.lit(False)}))

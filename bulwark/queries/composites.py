@@ -10,7 +10,7 @@ from bulwark.queries.projections import CLEAN_SQL, NORMALIZE_SQL, SP, _strip
 from bulwark.queries.registry import query
 from bulwark.queries.scans import KEYED_SCHEMA, mention_files
 from bulwark.queries.views import table, u_sql
-from bulwark.session import scratch_path
+from bulwark.session import scratch_path, spread
 from bulwark.sources import records as src
 
 _FIXED = ", ".join(f"'{t}'" for t in records.tx.TOP_TECHNIQUES)
@@ -117,5 +117,5 @@ def prep_run_enhanced(spark, sf):
     labels = table(spark, sf, "labels").select(
         "doc_id", name.alias("document"), F.concat(F.lit("q"), "quality", F.lit("t"), "toxic").alias("label_id"),
         views.split_of(F.col("doc_id")).alias("split"))
-    texts = table(spark, sf, "documents").select(name.alias("document"), F.col("text").alias("full_text"))
+    texts = spread(table(spark, sf, "documents"), "doc_id").select(name.alias("document"), F.col("text").alias("full_text"))
     return prep.prep_enhanced(labels, texts, "doc_id", top_k=3, at_most=200).drop("document")

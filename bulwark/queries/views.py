@@ -42,7 +42,7 @@ def texts(spark, sf) -> DataFrame:
 
 def labelled(spark, sf) -> DataFrame:
     """Trimmed documents, labelled by source: the 15 largest of the training split, else OTHER."""
-    d = records.trim_nonempty(docs(spark, sf))
+    d = records.trim_nonempty(spread(docs(spark, sf), "doc_id"))
     return records.add_lengths(records.reduce_labels(d, "source", k=15))
 
 
