@@ -38,12 +38,16 @@ def confusion_counts(df: DataFrame, label: str = "label", prediction: str = "pre
 def confusion_grid(counts: DataFrame) -> DataFrame:
     """Counts on the whole grid of classes that occur, 0 where a pair does not.
 
-    The grid comes from the counts, at most classes squared rows.
+    The counts are at most classes squared cells, which fit one row; the zero cells are added there,
+    so the predictions are read once.
     """
-    classes = counts.agg(F.array_sort(F.array_union(F.collect_set("label"), F.collect_set("prediction"))).alias("c"))
-    grid = classes.select(F.explode("c").alias("label"), "c").select("label", F.explode("c").alias("prediction"))
-    return grid.join(counts, ["label", "prediction"], "left").select(
-        "label", "prediction", F.coalesce("n", F.lit(0)).alias("n"))
+    cells = counts.agg(
+        F.collect_list(F.struct("label", "prediction", "n")).alias("cells"),
+        F.array_union(F.collect_set("label"), F.collect_set("prediction")).alias("classes"))
+    zero = F.flatten(F.transform("classes", lambda t: F.transform("classes", lambda p: F.struct(
+        t.alias("label"), p.alias("prediction"), F.lit(0).cast("long").alias("n")))))
+    return cells.select(F.explode(F.concat("cells", zero)).alias("c")).select("c.*").groupBy(
+        "label", "prediction").agg(F.sum("n").alias("n"))
 
 
 def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -176,11 +180,11 @@ def class_asr(df: DataFrame, name: str = "label_name") -> DataFrame:
     return c.withColumn("asr", ratio(F.col("attacks_successful"), F.col("originally_correct")))
 
 
-def flagged_by_method(scanned: DataFrame, candidates: DataFrame, row_id: str) -> DataFrame:
-    """(method, n): candidates per attack, all candidates, and records scanned."""
+def flagged_by_method(scanned: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(method, n): candidates per attack, all candidates, and records scanned (one row each)."""
     per = candidates.rollup("attack").agg(F.count("*").alias("n")).select(
         F.coalesce("attack", F.lit("total_flagged")).alias("method"), "n")
-    return per.unionByName(scanned.agg(F.countDistinct(row_id).alias("n")).select(
+    return per.unionByName(scanned.agg(F.count("*").alias("n")).select(
         F.lit("total_scanned").alias("method"), "n"))
 
 
@@ -268,11 +272,13 @@ def balance_dispersion(tables: dict[str, DataFrame], label: str = "label_mapped"
 
 
 def dataset_table(df: DataFrame) -> DataFrame:
-    """Per split and in total: rows, share, classes, mean words of the text."""
-    per = df.rollup("split").agg(
-        F.count("*").alias("n"), F.countDistinct("label_mapped").alias("classes"),
-        F.avg(F.size(words(F.col("full_text")))).alias("mean_words"))
-    total = df.agg(F.count("*").alias("n")).scalar()
+    """Per split and in total: rows, share, classes, mean words. Texts are read once."""
+    n_words = F.size(words(F.col("full_text")))
+    per_label = df.groupBy("split", "label_mapped").agg(F.count("*").alias("n"), F.sum(n_words).alias("words"))
+    per = per_label.rollup("split").agg(
+        F.sum("n").alias("n"), F.countDistinct("label_mapped").alias("classes"),
+        (F.sum("words") / F.sum("n")).alias("mean_words"))
+    total = F.max("n").over(Window.partitionBy())  # one row per split and the total
     return per.select(F.coalesce("split", F.lit("total")).alias("split"), "n",
                       (100.0 * F.col("n") / total).alias("pct"), "classes", "mean_words")
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bulwark.functions import text as tx
 from bulwark.operators.skew import text_digest
+from bulwark.session import checkpointed
 
 CORE_COLUMNS = (
     "document", "mention", "full_text", "label_id_str", "label_mapped", "label_id_encoded",
@@ -28,6 +29,11 @@ def trim_nonempty(df: DataFrame, text: str = "full_text") -> DataFrame:
     return df.withColumn(text, F.trim(text)).where(F.length(text) > 0)
 
 
+def digest_column(df: DataFrame, text: str = "full_text") -> Column:
+    """The text's key, from the column that facts() adds if there is one."""
+    return F.col("text_digest") if "text_digest" in df.columns else text_digest(F.col(text))
+
+
 def add_lengths(df: DataFrame, text: str = "full_text") -> DataFrame:
     return df.withColumns({"word_count": tx.word_count(F.col(text)), "char_count": F.length(text)})
 
@@ -99,14 +105,21 @@ def threshold_column(df: DataFrame) -> Column:
     return row.select(F.struct("short_threshold", "long_threshold").alias("bounds")).scalar()
 
 
+def null_mention(df: DataFrame) -> Column:
+    if "flag_null_mention" in df.columns:
+        return F.col("flag_null_mention")
+    if "mention" not in df.columns:
+        return F.lit(False)
+    return F.col("mention").isNull() | (F.length("mention") == 0)
+
+
 def add_row_flags(df: DataFrame, bounds: Column | None = None) -> DataFrame:
     """Flags that need only the row itself and the bounds."""
     bounds = threshold_column(df) if bounds is None else bounds
-    no_mention = F.col("mention").isNull() | (F.length("mention") == 0) if "mention" in df.columns else F.lit(False)
     flags = {
         "flag_short_text": F.col("word_count") < bounds["short_threshold"],
         "flag_long_text": F.col("word_count") > bounds["long_threshold"],
-        "flag_null_mention": no_mention,
+        "flag_null_mention": null_mention(df),
         "flag_other_tiny": (F.col("label_mapped") == tx.OTHER) & (F.col("word_count") < TINY_WORDS),
     }
     return df.withColumns({k: F.coalesce(v, F.lit(False)) for k, v in flags.items()})
@@ -134,7 +147,7 @@ def mark_copies(
     never meets in one task.
     """
     usable = F.lit(True) if usable is None else usable
-    narrow = df.select(*within, row_id, text_digest(F.col(text)).alias("_digest"), usable.alias("_usable"))
+    narrow = df.select(*within, row_id, digest_column(df, text).alias("_digest"), usable.alias("_usable"))
     named = (
         narrow.groupBy(*within, "_digest")
         .agg(
@@ -160,13 +173,29 @@ def route(df: DataFrame) -> DataFrame:
     return df.withColumn("route", F.when(is_severe(), "quarantine").otherwise("clean"))
 
 
-def annotate(df: DataFrame, row_id: str, bounds: Column | None = None) -> DataFrame:
-    """All flags, is_anomaly, route and is_survivor of a prepared table."""
-    flagged = route(add_row_flags(df, bounds))
+def facts(df: DataFrame, row_id: str) -> DataFrame:
+    """What flags and routes depend on, without the text: some 100 bytes per record.
+
+    Written once, so that thresholds, copies and flags do not read all texts again.
+    """
+    return checkpointed(df.select(
+        row_id, "split", "label_mapped", "word_count", null_mention(df).alias("flag_null_mention"),
+        digest_column(df).alias("text_digest")))
+
+
+def annotate_facts(known: DataFrame, row_id: str, bounds: Column | None = None) -> DataFrame:
+    """All flags, is_anomaly, route and is_survivor of a table of facts."""
+    flagged = route(add_row_flags(known, bounds))
     marked = mark_copies(flagged, row_id, usable=F.col("route") == "clean")
     return marked.withColumn("is_anomaly", any_flag())
 
 
+def annotate(df: DataFrame, row_id: str, bounds: Column | None = None) -> DataFrame:
+    """annotate_facts, joined back to the records by their id. Texts are read twice, moved once."""
+    known = annotate_facts(facts(df, row_id), row_id, bounds)
+    return df.join(known.select(row_id, *FLAGS, "is_anomaly", "route", "is_survivor"), row_id)
+
+
 def dedup_exact(df: DataFrame, row_id: str, text: str = "full_text", within=("split",)) -> DataFrame:
     """One row per text: the copy with the smallest id."""
     marked = mark_copies(df, row_id, text, within)
@@ -178,35 +207,72 @@ def survivors(df: DataFrame, row_id: str, columns: list[str]) -> DataFrame:
     clean = df.where(~is_severe())
     first = F.min_by(F.struct(*columns), F.col(row_id)).alias("s")
     return (
-        clean.select("split", row_id, *columns, text_digest(F.col("full_text")).alias("_digest"))
+        clean.select("split", row_id, *columns, digest_column(df).alias("_digest"))
         .groupBy("split", "_digest")
         .agg(first)
         .select("split", "s.*")
     )
 
 
-def guard_counts(df: DataFrame, bounds: Column | None = None) -> DataFrame:
-    """Per split: rows, rows per flag, anomalies, quarantined, kept.
+def guard_counts(df: DataFrame) -> DataFrame:
+    """Per split: rows, rows per flag, anomalies, quarantined, kept, from one scan.
 
-    Two partial aggregations, by (split, digest) and by split, answer every count at once; no
-    row-level join or window is needed.
+    Rows are counted per text (by digest), then per word count: copies of a text share their word
+    count, and the bounds only look at word counts. So the second table, one row per split and
+    word count, holds the training split's mean and deviation and every figure of the report. Both
+    steps combine before they shuffle, which is why a text with very many copies does no harm.
     """
-    flagged = add_row_flags(df, bounds)
-    hits = [F.count_if(f).alias(f) for f in ROW_FLAGS]
+    is_null, is_other = null_mention(df), F.coalesce(F.col("label_mapped") == tx.OTHER, F.lit(False))
     texts = (
-        flagged.select("split", *ROW_FLAGS, text_digest(F.col("full_text")).alias("_digest"))
+        df.select("split", "word_count", is_null.alias("null"), is_other.alias("other"),
+                  digest_column(df).alias("_digest"))
         .groupBy("split", "_digest")
-        .agg(F.count("*").alias("n"), *hits, F.count_if(any_flag(ROW_FLAGS)).alias("_any"),
-             F.count_if(is_severe()).alias("_severe"))
+        .agg(F.min("word_count").alias("wc"), F.count("*").alias("n"), F.count_if("null").alias("null"),
+             F.count_if("other").alias("other"), F.count_if(F.col("null") | F.col("other")).alias("either"))
     )
     copied = F.col("n") > 1
-    return texts.groupBy("split").agg(
+    lengths = texts.groupBy("split", "wc").agg(
+        F.sum("n").alias("n"), F.sum("null").alias("null"), F.sum("other").alias("other"), F.sum("either").alias("either"),
+        F.sum(F.when(copied, F.col("n")).otherwise(0)).alias("copied"),
+        F.sum(F.when(copied, 0).otherwise(F.col("null"))).alias("single_null"),
+        F.sum(F.when(copied, 0).otherwise(F.col("either"))).alias("single_either"),
+        F.count_if(F.col("n") > F.col("null")).alias("kept_null"),
+        F.count_if(F.col("n") > F.col("either")).alias("kept_either"),
+    )
+    everything = Window.partitionBy()  # one row per split and distinct word count
+    weight = F.when(F.col("split") == "train", F.col("n")).otherwise(0)
+    total = F.sum(weight).over(everything)
+    s1 = F.sum(weight * F.col("wc")).over(everything)
+    square = (F.col("wc").cast("long") * F.col("wc")).cast("decimal(18,0)")  # exact sums in any order, no overflow
+    s2 = F.sum(weight.cast("decimal(18,0)") * square).over(everything).cast("double")
+    mean = s1 / F.nullif(total, F.lit(0))
+    spread = F.coalesce(F.sqrt((s2 - s1 * mean) / F.nullif(total - 1, F.lit(0))), F.lit(0.0)) * 3
+    known = lengths.withColumns({"_mean": mean, "_spread": spread}).withColumns({
+        "short": F.col("wc") < F.greatest(F.lit(MIN_SHORT), (F.col("_mean") - F.col("_spread")).cast("int")),
+        "long": F.col("wc") > (F.col("_mean") + F.col("_spread")).cast("int"),
+        "tiny": F.col("wc") < TINY_WORDS,
+    })
+    n, short, tiny = F.col("n"), F.col("short"), F.col("tiny")
+
+    def total_of(*branches):
+        """Sum of the first branch whose condition holds."""
+        expr = F.lit(0).cast("long")
+        for condition, value in reversed(branches):
+            expr = F.when(condition, value).otherwise(expr)
+        return F.sum(expr)
+
+    always = F.lit(True)
+    single = F.when(tiny, F.col("single_either")).otherwise(F.col("single_null"))
+    return known.groupBy("split").agg(
         F.sum("n").alias("total"),
-        *[F.sum(f).alias(f) for f in ROW_FLAGS],
-        F.sum(F.when(copied, F.col("n")).otherwise(0)).alias("flag_duplicate"),
-        F.sum(F.when(copied, F.col("n")).otherwise(F.col("_any"))).alias("anomalies"),
-        F.sum("_severe").alias("quarantined"),
-        F.count_if(F.col("n") > F.col("_severe")).alias("kept"),
+        total_of((short, n)).alias("flag_short_text"),
+        total_of((F.col("long"), n)).alias("flag_long_text"),
+        F.sum("null").alias("flag_null_mention"),
+        total_of((tiny, F.col("other"))).alias("flag_other_tiny"),
+        F.sum("copied").alias("flag_duplicate"),
+        total_of((short | F.col("long"), n), (always, F.col("copied") + single)).alias("anomalies"),
+        total_of((short, n), (tiny, F.col("either")), (always, F.col("null"))).alias("quarantined"),
+        total_of((short, F.lit(0)), (tiny, F.col("kept_either")), (always, F.col("kept_null"))).alias("kept"),
     )
 
 
@@ -234,20 +300,23 @@ def label_distribution(df: DataFrame, label: str = "label_mapped", by: tuple[str
 
 
 def split_stats(kept: DataFrame) -> DataFrame:
-    """Per split: records, word count figures and label counts as `label=count` text."""
-    figures = kept.groupBy("split").agg(
-        F.count("*").alias("total_records"),
-        F.round(F.mean("word_count"), 2).alias("word_count_mean"),
-        F.round(F.stddev("word_count"), 2).alias("word_count_std"),
-        F.min("word_count").alias("word_count_min"),
-        F.max("word_count").alias("word_count_max"),
-    )
-    # At most k + 1 reduced labels per split.
-    labels = (
-        label_distribution(kept, by=("split",))
-        .groupBy("split")
-        .agg(F.array_join(
-            F.array_sort(F.collect_list(F.concat("label_mapped", F.lit("="), F.col("n").cast("string")))), ","
-        ).alias("label_distribution"))
+    """Per split: records, word count figures and label counts as `label=count` text.
+
+    One pass: everything follows from sums per split and label.
+    """
+    wc, n = F.col("word_count").cast("long"), F.sum("n")
+    per_label = kept.groupBy("split", "label_mapped").agg(
+        F.count("*").alias("n"), F.sum(wc).alias("s1"),
+        F.sum((wc * wc).cast("decimal(18,0)")).alias("s2"),
+        F.min("word_count").alias("lo"), F.max("word_count").alias("hi"))
+    mean = F.sum("s1") / n
+    variance = (F.sum("s2").cast("double") - F.sum("s1") * mean) / F.nullif(n - 1, F.lit(0))
+    counts = F.collect_list(F.concat("label_mapped", F.lit("="), F.col("n").cast("string")))  # k + 1 labels at most
+    return per_label.groupBy("split").agg(
+        n.alias("total_records"),
+        F.round(mean, 2).alias("word_count_mean"),
+        F.round(F.sqrt(variance), 2).alias("word_count_std"),
+        F.min("lo").alias("word_count_min"),
+        F.max("hi").alias("word_count_max"),
+        F.array_join(F.array_sort(counts), ",").alias("label_distribution"),
     )
-    return figures.join(labels, "split")

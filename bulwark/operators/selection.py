@@ -82,7 +82,7 @@ def coreset_order(df: DataFrame, row_id: str, budget: int, probs: str = "probs",
     shrink, so as long as the farthest of those rows is farther than the last one fetched, no row
     outside the batch can be the next centre, and the greedy choice goes on without another pass.
     """
-    state = df.select(row_id, F.col(probs).alias("_p"))
+    state = checkpointed(df.select(row_id, F.col(probs).alias("_p")))  # score the pool once, not once per pass
     first = state.orderBy(row_id).first()
     if first is None:
         return []
@@ -162,39 +162,41 @@ def _drawn(df: DataFrame, row_id: str, tag: str, seed: int) -> DataFrame:
         "_bucket", F.floor(F.col("_u") * BUCKETS).cast("int"))
 
 
-def exact_sample(df: DataFrame, row_id: str, n: int, tag: str = "sample", seed: int = SEED) -> DataFrame:
-    """Exactly min(n, rows) rows, the ones with the smallest draws.
-
-    A count per bucket of the draw finds the last bucket needed, so only about n rows are ever
-    sorted, however large the table is.
-    """
-    drawn = _drawn(df, row_id, tag, seed)
-    upto = F.sum("n").over(Window.orderBy("_bucket"))  # BUCKETS rows
-    counts = drawn.groupBy("_bucket").agg(F.count("*").alias("n")).withColumn("_before", upto - F.col("n"))
-    last = counts.where(F.col("_before") < n).agg(F.max("_bucket").alias("last")).scalar()
-    return drawn.where(F.col("_bucket") <= last).orderBy("_u", row_id).limit(n).drop("_u", "_bucket")
-
-
-def cap_classes(df: DataFrame, row_id: str, label: str, cap: int, tag: str = "cap", seed: int = SEED) -> DataFrame:
-    """At most `cap` rows per class of a reduced label space, the ones with the smallest draws.
+def _smallest_draws(drawn: DataFrame, row_id: str, keys: list[str], n: int) -> DataFrame:
+    """Exactly the n rows with the smallest draws (per key).
 
-    As in exact_sample the cut-off bucket of each class is found from counts; the ranking window
-    then sees cap + class size / BUCKETS rows of a class.
+    Counts per bucket of the draw give the last bucket needed and how many rows lie in front of it.
+    Rows of earlier buckets are all taken; ranks are needed in the last one only, and no task ever
+    ranks more than the rows of one bucket, 1/BUCKETS of a class, however hot it is.
     """
-    drawn = _drawn(df, row_id, tag, seed)
-    upto = F.sum("n").over(Window.partitionBy(label).orderBy("_bucket"))
-    counts = drawn.groupBy(label, "_bucket").agg(F.count("*").alias("n")).withColumn("_before", upto - F.col("n"))
-    last = counts.where(F.col("_before") < cap).groupBy(label).agg(F.max("_bucket").alias("_last"))
-    rank = F.row_number().over(Window.partitionBy(label).orderBy("_u", row_id))
+    upto = F.sum("n").over(Window.partitionBy(*keys).orderBy("_bucket"))  # at most BUCKETS rows per key
+    counts = drawn.groupBy(*keys, "_bucket").agg(F.count("*").alias("n")).withColumn("_before", upto - F.col("n"))
+    last = counts.where(F.col("_before") < n).groupBy(*keys).agg(
+        F.max("_bucket").alias("_last"), F.max("_before").alias("_before"))
+    if keys:
+        cut = drawn.join(F.broadcast(last), keys)  # one row per class of a reduced label space
+    else:
+        row = last.select(F.struct("_last", "_before").alias("s")).scalar()
+        cut = drawn.withColumn("_s", row).select("*", "_s.*").drop("_s")
+    rank = F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy("_u", row_id))
     return (
-        drawn.join(F.broadcast(last), label)  # one row per class
-        .where(F.col("_bucket") <= F.col("_last"))
+        cut.where(F.col("_bucket") <= F.col("_last"))
         .withColumn("_rank", rank)
-        .where(F.col("_rank") <= cap)
-        .drop("_u", "_bucket", "_last", "_rank")
+        .where((F.col("_bucket") < F.col("_last")) | (F.col("_rank") <= n - F.col("_before")))
+        .drop("_u", "_bucket", "_last", "_before", "_rank")
     )
 
 
+def exact_sample(df: DataFrame, row_id: str, n: int, tag: str = "sample", seed: int = SEED) -> DataFrame:
+    """Exactly min(n, rows) rows, the ones with the smallest draws."""
+    return _smallest_draws(_drawn(df, row_id, tag, seed), row_id, [], n)
+
+
+def cap_classes(df: DataFrame, row_id: str, label: str, cap: int, tag: str = "cap", seed: int = SEED) -> DataFrame:
+    """At most `cap` rows per class of a reduced label space, the ones with the smallest draws."""
+    return _smallest_draws(_drawn(df, row_id, tag, seed), row_id, [label], cap)
+
+
 def shuffle_rows(df: DataFrame, row_id: str, tag: str = "shuffle", seed: int = SEED) -> DataFrame:
     """Add `position` (from 1), a seeded permutation of all rows.
 

@@ -30,11 +30,13 @@ def run_guard(spark: SparkSession, data: str, out: str, schema: T.StructType = s
     raw = spark.read.parquet(raw_path) if row_id else stores.with_record_id(spark, raw_path)
     key = row_id or "record_id"
     prepared = records.project_available(prepare(raw), (key, *records.CORE_COLUMNS))
-    routed = stores.store_routed(records.annotate(prepared, key), routed_path)
+    known = records.facts(prepared, key)
+    flags = records.annotate_facts(known, key).select(key, *records.FLAGS, "is_anomaly", "route", "is_survivor")
+    stores.store_routed(prepared.join(flags, key), routed_path)
     clean = stores.scan_store(spark, routed_path, route="clean")
     return {
-        "counts": records.guard_counts(prepared),
-        "thresholds": records.sigma_thresholds(prepared.where(F.col("split") == "train")),
+        "counts": records.guard_counts(known),
+        "thresholds": records.sigma_thresholds(known.where(F.col("split") == "train")),
         "stats": records.split_stats(clean),
         "clean": clean,
         "quarantine": stores.scan_store(spark, routed_path, route="quarantine"),

@@ -315,7 +315,7 @@ def per_class_asr(spark, sf):
     UNION ALL SELECT 'total_scanned', count(DISTINCT vec_id) FROM v_attacks""")
 def flagged_by_method(spark, sf):
     a = views.attacks(spark, sf)
-    return metrics.flagged_by_method(views.predictions(spark, sf), sel.candidates(a, "vec_id"), "vec_id")
+    return metrics.flagged_by_method(views.predictions(spark, sf), sel.candidates(a, "vec_id"))
 
 
 @query("entropy_stats", """

@@ -29,7 +29,8 @@ def flag_duplicate(spark, sf):
     SELECT doc_id, flag_short_text, flag_long_text, flag_null_mention, flag_other_tiny, flag_duplicate, is_anomaly
     FROM v_routed""")
 def is_anomaly(spark, sf):
-    return records.annotate(views.labelled(spark, sf), "doc_id").select("doc_id", *records.FLAGS, "is_anomaly")
+    known = records.facts(views.labelled(spark, sf), "doc_id")
+    return records.annotate_facts(known, "doc_id").select("doc_id", *records.FLAGS, "is_anomaly")
 
 
 @query("route_severe", "SELECT doc_id, split, route FROM v_routed")
