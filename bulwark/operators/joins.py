@@ -20,10 +20,12 @@ def attach_copy_counts(df: DataFrame, row_id: str, text: str = "full_text", with
     return joined.drop("_digest")
 
 
-def available_docs(labels: DataFrame, texts: DataFrame, key: str = "document") -> DataFrame:
-    """Label rows whose document exists."""
-    keys = texts.select(doc_key(F.col(key)).alias("doc_clean")).distinct()
-    return labels.withColumn("doc_clean", doc_key(F.col(key))).join(keys, "doc_clean", "left_semi")
+def available_docs(labels: DataFrame, texts: DataFrame, row_id: str, key: str = "document",
+                   floor: int = HOT_FLOOR, salts: int = SALTS) -> DataFrame:
+    """Label rows whose document exists. Documents with very many label rows are salted."""
+    l = labels.withColumn("doc_clean", doc_key(F.col(key)))
+    return salted_join(l, texts.select(doc_key(F.col(key)).alias("doc_clean")), ["doc_clean"], "left_semi", row_id,
+                       floor=floor, salts=salts)
 
 
 def align_text(labels: DataFrame, texts: DataFrame, row_id: str, key: str = "document",

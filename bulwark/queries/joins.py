@@ -25,7 +25,7 @@ def join_dup_counts(spark, sf):
 def join_available_docs(spark, sf):
     l = _named(table(spark, sf, "labels"))
     d = _named(table(spark, sf, "documents").select("doc_id"))
-    return joins.available_docs(l, d).select("doc_id", "quality")
+    return joins.available_docs(l, d, "doc_id").select("doc_id", "quality")
 
 
 @query("join_labels_text", "SELECT l.doc_id, quality, toxic, text AS full_text FROM labels l JOIN documents USING (doc_id)")

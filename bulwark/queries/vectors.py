@@ -63,16 +63,14 @@ def score(spark, sf):
 
 
 @query("pairwise_distance", """
-    WITH c AS (SELECT list(probs ORDER BY vec_id) AS centres FROM (SELECT * FROM v_probs ORDER BY vec_id LIMIT 10))
+    WITH c AS (SELECT list(p) AS centres FROM (SELECT arg_min(probs, vec_id) AS p FROM v_probs GROUP BY label))
     SELECT vec_id, round(list_min([sqrt(list_sum([(probs[i] - c[i]) * (probs[i] - c[i]) FOR i IN range(1, 11)]))
                                    FOR c IN centres]), 6) AS distance
     FROM v_probs, c""")
 def pairwise_distance(spark, sf):
-    """Distance of every row to its nearest of ten centres (the feature is a bounded centre set)."""
+    """Distance of every row to the nearest centre; the centres are the first row of each class."""
     p = views.probs(spark, sf)
-    first = p.orderBy("vec_id").limit(10)
-    centres = first.agg(F.array_sort(F.collect_list(F.struct("vec_id", "probs"))).alias("c"))
-    vecs = centres.select(F.transform("c", lambda x: x["probs"]).alias("v")).scalar()
-    with_centres = p.withColumn("centres", vecs)
+    centres = p.groupBy("label").agg(F.min_by("probs", "vec_id").alias("p")).agg(F.collect_list("p").alias("c"))
+    with_centres = p.withColumn("centres", centres.scalar())  # one vector per class
     return rounded(with_centres.select(
         "vec_id", vectors.nearest_distance(F.col("probs"), F.col("centres")).alias("distance")))

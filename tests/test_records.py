@@ -167,6 +167,7 @@ def test_align_text_and_removal(spark):
     texts = spark.createDataFrame([("a.txt", "body")], "document string, full_text string")
     got = sorted((r["id"], r["full_text"]) for r in joins.align_text(labels, texts, "id", floor=1, salts=3).collect())
     assert got == [(1, "body")]
+    assert [r["id"] for r in joins.available_docs(labels, texts, "id", floor=1, salts=3).collect()] == [1]
     pool = spark.createDataFrame([(1, "x"), (2, "x"), (3, "y")], "id long, text string")
     left = joins.remove_selected(pool, pool.where("id = 1"))
     assert [r["id"] for r in left.collect()] == [3]
