@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from bulwark.functions.text import explain_selection, words
 
-# Defaults of the robustness metrics.
-ROBUSTNESS = ("clean_accuracy", "robust_accuracy", "attack_success_rate")
-
 
 def ratio(a: Column, b: Column) -> Column:
     """a / b, and 0 where b is 0."""

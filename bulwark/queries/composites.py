@@ -6,7 +6,7 @@ from bulwark.operators import records
 from bulwark.plans import guard, prep
 from bulwark.queries import aggregates, views
 from bulwark.queries.perturbation import augment_delete_sql, augment_shuffle_sql, augment_synonym_sql
-from bulwark.queries.projections import CLEAN_SQL, NORMALIZE_SQL, SP, _strip
+from bulwark.queries.projections import CLEAN_SQL, NORMALIZE_SQL, _strip
 from bulwark.queries.registry import query
 from bulwark.queries.scans import KEYED_SCHEMA, mention_files
 from bulwark.queries.views import table, u_sql

@@ -7,7 +7,6 @@ from bulwark.operators.selection import score_pool
 from bulwark.queries import views
 from bulwark.queries.common import rounded
 from bulwark.queries.registry import query
-from bulwark.queries.views import table
 
 
 @query("softmax", """

@@ -109,6 +109,15 @@ def test_tfidf_salted_equals_plain(spark, sf):
     assert a.exceptAll(b).count() == 0 and b.count() == a.count()
 
 
+def test_weighted_mix(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "id long, l string")
+    mix = learning.weighted_mix(dict.fromkeys(learning.RETRAIN_WEIGHTS, df), "l", learning.RETRAIN_WEIGHTS)
+    got = {(r["id"], r["origin"]): r["weight"] for r in mix.collect()}
+    assert got[(1, "clean")] == pytest.approx(0.6 * 9 / (2 * 6))
+    assert got[(3, "adversarial")] == pytest.approx(0.2 * 9 / (2 * 3))
+    assert len(got) == 9
+
+
 def test_model_scores_and_runs(spark, sf):
     train, _, test = learning_queries.train_test(spark, sf)
     model = learning.train(train)

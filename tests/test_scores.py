@@ -113,8 +113,11 @@ def test_metrics_without_right_answers_or_rows(spark):
 
 
 def test_published_run_figures(spark):
-    runs = spark.createDataFrame([(0.8225, 0.8181, 0.8186)], "clean_accuracy double, accuracy_under_attack double, accuracy_after_defense double")
-    r = metrics.robustness_summary(runs).first()
+    from bulwark.operators.learning import summarize_runs
+
+    runs = spark.createDataFrame([("LogReg_clean", 0.8225), ("LogReg_clean_vs_adv", 0.8181), ("LogReg_adv_training", 0.8186)],
+                                 "model string, accuracy double")
+    r = summarize_runs(runs).first()
     assert (r["accuracy_drop_pct"], r["accuracy_recovery_pct"], r["relative_accuracy_drop"]) == (0.44, 0.05, 0.0053)
 
 
