@@ -52,8 +52,13 @@ EMAIL = (
     rf"(?<!{NOT_SPACE}){NOT_SPACE}[^\s\x0B\x1C-\x1F\x85\p{{Z}}@]*@"
     rf"{NOT_SPACE}[^\s\x0B\x1C-\x1F\x85\p{{Z}}.]*\.{NOT_SPACE}+"
 )
-WINDOWS_PATH = r'[A-Za-z]:\\(?:[^\\/:*?"<>|\r\n]+\\)*([^\\/:*?"<>|\r\n]+)'
-UNIX_PATH = r"/(?:[^/\s]+/)*([^/\s]+\.[a-zA-Z]+)"
+# Paths are reduced to their file name. A repeated group would recurse once per path segment, and a
+# text of some thousand segments would overflow the stack. Doubled separators are therefore parted by
+# a mark first; then a path is a run of characters without that mark.
+MARK, OPEN, CLOSE = "\uFDD0", "\uFDD1", "\uFDD2"
+WINDOWS_PATH = rf'[A-Za-z]:\\(?:[^/:*?"<>|\r\n{MARK}]*\\)?([^\\/:*?"<>|\r\n{MARK}]+)'
+# The second branch takes a run without a file name whole, so that no part of it is searched again.
+UNIX_PATH = rf"/(?:[^\s{MARK}]*/)?([^/\s{MARK}]+\.[a-zA-Z]+)|(/[^\s{MARK}]*+)"
 CODE_BLOCK = r"```[\s\S]*?```"
 INLINE_CODE = r"`[^`]+`"
 DISALLOWED = r"""[^\p{L}\p{N}_\s.,:;\-()\[\]'"/@#$%&*+=<>?!]"""
@@ -66,7 +71,7 @@ MAX_CHARS = 4000
 
 def strip(c: Column) -> Column:
     """Remove every kind of leading and trailing whitespace (`trim` removes spaces only)."""
-    return F.regexp_replace(c, rf"^{SPACE}+|{SPACE}+$", "")
+    return F.regexp_replace(c, rf"^{SPACE}+|(?<!{SPACE}){SPACE}+$", "")
 
 
 def words(c: Column) -> Column:
@@ -133,12 +138,21 @@ def negative_to_other(label: Column) -> Column:
     return F.when(label == NO_ANNOTATION, F.lit(OTHER)).otherwise(label)
 
 
+def file_names(c: Column) -> Column:
+    """Windows and Unix paths replaced by their file name between spaces."""
+    t = F.translate(c, MARK + OPEN + CLOSE, "   ")
+    t = F.regexp_replace(t, r"(?<=\\)(?=\\)", MARK)
+    t = F.translate(F.regexp_replace(t, WINDOWS_PATH, " $1 "), MARK, "")
+    t = F.regexp_replace(t, r"(?<=/)(?=/)", MARK)
+    t = F.regexp_replace(t, UNIX_PATH, f"{OPEN}$1{CLOSE}$2")  # a branch that did not match gives nothing
+    return F.translate(F.replace(t, F.lit(OPEN + CLOSE), F.lit("")), OPEN + CLOSE + MARK, "  ")
+
+
 def clean_text(c: Column) -> Column:
     """Ordered cleaning chain; see the patterns above."""
     t = F.regexp_replace(c, URL, " [URL] ")
     t = F.regexp_replace(t, EMAIL, " [EMAIL] ")
-    t = F.regexp_replace(t, WINDOWS_PATH, " $1 ")
-    t = F.regexp_replace(t, UNIX_PATH, " $1 ")
+    t = file_names(t)
     t = F.regexp_replace(t, CODE_BLOCK, " [CODE_BLOCK] ")
     t = F.regexp_replace(t, INLINE_CODE, " [CODE] ")
     t = F.regexp_replace(t, DISALLOWED, " ")

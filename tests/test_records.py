@@ -58,6 +58,32 @@ def test_email_search_equals_plain_pattern(spark):
     assert got == [plain.sub(" [EMAIL] ", t) for t in texts]
 
 
+def test_file_names_equal_plain_patterns(spark):
+    import random
+    import re
+
+    windows = re.compile(r'[A-Za-z]:\\(?:[^\\/:*?"<>|\r\n]+\\)*([^\\/:*?"<>|\r\n]+)')
+    unix = re.compile(r"/(?:[^/\s]+/)*([^/\s]+\.[a-zA-Z]+)")
+    rnd = random.Random(11)
+    texts = ["".join(rnd.choice("//\\\\aC: .b1\n") for _ in range(rnd.randrange(1, 40))) for _ in range(3000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = {r["i"]: r["x"] for r in df.select("i", tx.file_names(F.col("t")).alias("x")).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == unix.sub(r" \1 ", windows.sub(r" \1 ", t)), repr(t)
+
+
+def test_long_odd_texts_neither_overflow_nor_crawl(spark):
+    import time
+
+    texts = ["/a" * 50000, "C:" + "\\a" * 50000, "```" + "x\n" * 50000, "a@" * 50000, "x" * 200000, "a@b" + "." * 50000,
+             ("/" + "a" * 50) * 3000, " " * 100000 + "x", "x" + " " * 100000 + "y", "//" * 50000, "a/b.c/" * 20000]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").repartition(8)
+    t0 = time.time()
+    n = df.select(F.length(tx.clean_text(F.col("t"))), F.length(tx.normalize_text(F.col("t"))),
+                  F.length(tx.strip(F.col("t"))), F.length(tx.truncate_important(F.col("t")))).collect()
+    assert len(n) == len(texts) and time.time() - t0 < 60
+
+
 def test_normalize_and_truncate(spark):
     def norm(t):
         return one(spark, tx.normalize_text(F.col("t")), t=t)
