@@ -3,14 +3,15 @@
 import pytest
 
 import __spark_entry__ as entry
+from bulwark.queries import REGISTRY
 from tools.check import compare
 
-SQL = entry.oracle_sql()
+SQL = {name: q.sql for name, q in REGISTRY.items() if q.sql}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_sql(spark, sf, duck, name):
-    assert compare(entry.queries()[name](spark, sf), duck, SQL[name]) == ""
+    assert compare(REGISTRY[name].run(spark, sf), duck, SQL[name]) == ""
 
 
 def test_entry_has_rows_and_stable_schema(spark):
@@ -20,4 +21,4 @@ def test_entry_has_rows_and_stable_schema(spark):
 
 
 def test_no_query_is_named_like_a_step():
-    assert not [n for n in entry.queries() if "pipeline" in n or n.startswith("op")]
+    assert not [n for n in REGISTRY if "pipeline" in n or n.startswith("op")]
