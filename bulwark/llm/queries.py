@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bulwark.llm import decontaminate, language, mixing, neardup, sharding, topk
+from bulwark.llm import chat, decontaminate, htmltext, language, mixing, neardup, secrets, sharding, topk, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -63,6 +63,55 @@ def topk_block_pruning(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+URL_RULES = [
+    ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"), ("block", "net", "/fr/"),
+]
+
+
+def url_sql() -> str:
+    """The same in SQL: rules, links, parent domains, and one step for each round of the ranks."""
+    fits = [f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')" for _, h, p in URL_RULES]
+    ranked = sorted(range(len(URL_RULES)), key=lambda i: -len(URL_RULES[i][1] + URL_RULES[i][2]))
+    rule = " ".join(f"WHEN {fits[i]} THEN '{URL_RULES[i][1] + URL_RULES[i][2]}'" for i in ranked)
+    verdict = " ".join(f"WHEN {fits[i]} THEN '{URL_RULES[i][0]}'" for i in ranked)
+    link = urls.LINK.replace("'", "''")
+    rounds = "".join(
+        f"""
+    r{k + 1} AS MATERIALIZED (SELECT kind, host, sum(rank) AS rank FROM (
+      SELECT r.kind, w.t AS host, ((r.rank * {urls.DAMPING}) // 100 // w.total) * w.n AS rank FROM r{k} r JOIN ways w ON r.kind = w.kind AND r.host = w.f
+      UNION ALL SELECT kind, host, (rank * {100 - urls.DAMPING}) // 100 FROM r0) GROUP BY ALL),"""
+        for k in range(urls.ROUNDS)
+    )
+    return f"""
+    WITH RECURSIVE u AS (SELECT page_id, coalesce(html, '') AS html, coalesce(url, '') AS url FROM pages),
+    p AS (SELECT page_id, html, translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), '{urls.UPPER}', '{urls.LOWER}') AS host,
+      regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path FROM u),
+    d AS MATERIALIZED (SELECT *, CASE {rule} END AS rule, CASE {verdict} END AS given FROM p),
+    found AS MATERIALIZED (SELECT host AS src, translate(unnest(regexp_extract_all(html, '{link}', 1)), '{urls.UPPER}', '{urls.LOWER}') AS dst FROM p WHERE host <> ''),
+    family(h) AS (SELECT DISTINCT host FROM p WHERE host <> '' UNION SELECT dst FROM found
+      UNION SELECT regexp_extract(h, '(?s)^[^.]*[.](.*)$', 1) FROM family WHERE contains(regexp_extract(h, '(?s)^[^.]*[.](.*)$', 1), '.')),
+    pairs AS (SELECT DISTINCT h, regexp_extract(h, '(?s)^[^.]*[.](.*)$', 1) AS p FROM family WHERE contains(regexp_extract(h, '(?s)^[^.]*[.](.*)$', 1), '.')),
+    e AS MATERIALIZED (SELECT src, dst, sum(n) AS n FROM (SELECT src, dst, count(*) AS n FROM found WHERE src <> dst GROUP BY ALL
+      UNION ALL SELECT h, p, 1 FROM pairs UNION ALL SELECT p, h, 1 FROM pairs) GROUP BY ALL),
+    w AS (SELECT 'trust' AS kind, src AS f, dst AS t, n FROM e UNION ALL SELECT 'distrust', dst, src, n FROM e),
+    ways AS MATERIALIZED (SELECT *, sum(n) OVER (PARTITION BY kind, f) AS total FROM w),
+    s AS (SELECT CASE WHEN given = 'allow' THEN 'trust' ELSE 'distrust' END AS kind, host, count(*) AS n FROM d WHERE given IS NOT NULL GROUP BY ALL),
+    r0 AS MATERIALIZED (SELECT kind, host, ({urls.MASS} // sum(n) OVER (PARTITION BY kind)) * n AS rank FROM s),{rounds}
+    h AS (SELECT host, sum(CASE WHEN kind = 'trust' THEN rank ELSE 0 END) AS trust, sum(CASE WHEN kind = 'distrust' THEN rank ELSE 0 END) AS distrust
+      FROM r{urls.ROUNDS} GROUP BY ALL)
+    SELECT page_id, host, path, rule,
+      coalesce(given, CASE WHEN distrust * 100 > (trust + distrust) * {urls.THRESHOLD} THEN 'block' ELSE 'allow' END) AS verdict,
+      CAST(coalesce(trust, 0) AS BIGINT) AS trust, CAST(coalesce(distrust, 0) AS BIGINT) AS distrust FROM d LEFT JOIN h USING (host)
+    """
+
+
+@query("op3_url_trust", url_sql())
+def url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url judged by rules, else by its host's trust and distrust."""
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 @query("op4_fm_index_decontamination")
 def fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document hit by windows of benchmark items, and the items."""
@@ -76,6 +125,43 @@ def fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_markov_secrets")
+def markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, by pattern and by character models."""
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+    count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
+    return found.select(
+        "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+        F.sha2(secrets.written(base).cast("binary"), 256).alias("base_sha256"), secrets.written(F.col("spans")).alias("spans"),
+    )
+
+
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+@query(
+    "op6_prefix_target_chat",
+    rf"""
+    WITH t AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT -1, 0, 'user', '{CONTROL_TEXT}' UNION ALL SELECT -1, 1, 'assistant', '{CONTROL_TEXT}'),
+    e AS (SELECT *, len(regexp_extract_all(text, '<[\\]*({chat.ANGLE})')) + len(regexp_extract_all(text, '\[[\\]*({chat.BRACKET})')) AS marks FROM t)
+    SELECT conv_id, count(*) AS n_turns,
+      sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+      CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+      sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+      CAST(sum({len(chat.OPEN) + 1 + len(chat.CLOSE)} + length(role) + length(text) + marks) AS BIGINT) AS formatted_chars
+    FROM e GROUP BY conv_id
+    """,
+)
+def prefix_target_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted, and read back: digests of all turns and of what is trainable."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)], turns.schema)
+    return chat.digests(chat.formatted(turns.unionByName(more)))
+
+
 def trained_languages(docs: DataFrame) -> language.Model:
     """Fitted on documents whose crc32(doc_id) is not divisible by 5."""
     fold = F.pmod(crc(F.col("doc_id").cast("string")), F.lit(5))
@@ -99,6 +185,12 @@ def temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "epoch", "block", F.round("weight", 9).alias("weight"))
 
 
+@query("op9_tag_ratio_text")
+def tag_ratio_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return htmltext.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"), "html")
+
+
 @query("op10_bayes_minhash")
 def bayes_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's component of near copies on two-word shingles."""
