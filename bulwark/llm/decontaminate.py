@@ -74,7 +74,7 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     key = np.zeros(n, np.int64)
     for k in range(take):
         key <<= width
-        key[: n - k] |= s[k:] + 1
+        key[: max(0, n - k)] |= s[k:] + 1
     at = np.sort((key << place) | np.arange(n)) & ((1 << place) - 1)
     head = np.concatenate(([True], key[at[1:]] != key[at[:-1]]))
     rank = np.zeros(n + 1, np.int64)
@@ -144,9 +144,10 @@ class WaveletTree:
 
 
 class FMIndex:
-    """Backward search and location in a sequence of symbols that ends with 0."""
+    """Backward search and location in a sequence of symbols 0 to sigma - 1. Inside, 0 is an end of its own."""
 
     def __init__(self, s: np.ndarray, sigma: int):
+        s, sigma = np.append(s + 1, 0), sigma + 1
         at = suffix_array(s)
         self.tree = WaveletTree(s[at - 1], sigma)
         self.before = np.concatenate(([0], np.cumsum(np.bincount(s, minlength=sigma))))
@@ -162,7 +163,7 @@ class FMIndex:
         alive = np.arange(count)
         for k in range(width):
             alive = alive[(high[alive] > low[alive]) & (length[alive] > k)]
-            c = phrases[alive, width - 1 - k]
+            c = phrases[alive, width - 1 - k] + 1
             low[alive] = self.before[c] + self.tree.rank(c, low[alive])
             high[alive] = self.before[c] + self.tree.rank(c, high[alive])
         return low, np.maximum(low, high)
@@ -193,7 +194,7 @@ def shard_hits(words: Words, phrases: Phrases) -> tuple[np.ndarray, np.ndarray,
     s = np.insert(symbols, ends, 0)
     word = np.insert(np.arange(len(symbols)), ends, -1)
     keep = (s != 0) | np.concatenate(([True], s[:-1] != 0))
-    s, word = np.append(s[keep], 0), np.append(word[keep], -1)
+    s, word = s[keep], word[keep]
     index = FMIndex(s, len(phrases.words) + 1)
     low, high = index.search(phrases.symbols, phrases.length)
     found = high - low
