@@ -3,8 +3,9 @@
 1. One pass over the texts cuts words, hashes shingles and keeps, for each document, its set size, a digest of the
    set, and a signature. Documents with equal sets form a class; only its smallest id goes on.
 2. Bands of the signature propose candidates. A bucket is never expanded into all its pairs. Each class first meets
-   the best-connected class among its buckets. Links found so form components, and only classes that share a bucket
-   but not a component are then compared with each other.
+   the best-connected class among its buckets. Links found so form components. Where classes of several components
+   share a bucket, all but the largest component's are compared with the rest, tile by tile inside tasks; what is
+   sent on is classes and one link for each class and component, never pairs.
 3. A candidate pair is judged by batches of its signature: it is dropped as soon as the posterior probability that
    its similarity reaches the threshold falls below `miss`. Survivors are confirmed on their full shingle sets.
 """
@@ -64,7 +65,7 @@ def signature(s: np.ndarray) -> np.ndarray:
 
 
 def band_keys(sig: np.ndarray) -> np.ndarray:
-    """A 64-bit key of each band; the band number is part of it."""
+    """A 64-bit key of each band of a 16-bit signature; the band number is part of it."""
     rows = sig.reshape(-1, BANDS, ROWS).astype(np.uint64)
     key = np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     for r in range(ROWS):
@@ -72,8 +73,8 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     return key
 
 
-def sketches(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """Per row: id, set size, digest of the set, and the low 16 bits of each signature hash plus the band keys."""
+def sketches(docs: DataFrame, width: int) -> DataFrame:
+    """Per row (id, text): id, a hash of the text, set size, digest of the set, the low 16 bits of each signature hash and the band keys made of them."""
 
     def run(batches):
         for b in batches:
@@ -81,17 +82,17 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFra
             for s in shingle_sets(b.column(1), width):
                 n.append(len(s))
                 digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                least = signature(s) if len(s) else None
-                sig.append(None if least is None else least.astype(np.uint16).tobytes())
+                least = signature(s).astype(np.uint16) if len(s) else None
+                sig.append(None if least is None else least.tobytes())
                 bands.append(None if least is None else band_keys(least)[0].astype(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary()),
+                [b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary()),
                  pa.array(bands, pa.list_(pa.int64()))],
-                ["id", "n", "digest", "sig", "bands"],
+                ["id", "h", "n", "digest", "sig", "bands"],
             )
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "id long, n long, digest binary, sig binary, bands array<bigint>"
+    return docs.select("id", "text", F.xxhash64("text").alias("h")).mapInArrow(
+        run, "id long, h long, n long, digest binary, sig binary, bands array<bigint>"
     )
 
 
@@ -168,6 +169,122 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     )
 
 
+TILE_A, TILE_B = 128, 512
+
+
+def tiles(mixed: DataFrame) -> DataFrame:
+    """Deal buckets into tiles: side 0 holds classes outside the bucket's main component, side 1 all classes.
+
+    mixed: band, place, size, id, n, root, main, others. A tile has about TILE_A and TILE_B classes, so a bucket of
+    any size is many small tasks.
+    """
+    of = lambda n, most: F.ceil(n / F.lit(most)).cast("int")
+    a, b = of(F.col("others"), TILE_A), of(F.col("size"), TILE_B)
+    mine = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), n).cast("int")
+    all_of = lambda n: F.sequence(F.lit(0), n - 1)
+    keep = ["band", "place", "id", "n", "root"]
+    left = mixed.where("root <> main").select(*keep, mine(a, 1).alias("ta"), F.explode(all_of(b)).alias("tb"), F.lit(0).alias("side"))
+    right = mixed.select(*keep, F.explode(all_of(a)).alias("ta"), mine(b, 2).alias("tb"), F.lit(1).alias("side"))
+    return left.unionByName(right)
+
+
+def tile_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
+    """Rows sorted by (band, ta, tb, side) as one table for each tile, with the rows of side 0 and of side 1."""
+    held: list[pa.Table] = []
+    last = None
+    for batch in batches:
+        t = pa.Table.from_batches([batch])
+        keys = np.stack([t.column(i).to_numpy() for i in range(3)], axis=1)
+        if not len(keys):
+            continue
+        edges = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+        edges = [0, *edges.tolist(), len(keys)]
+        for i, j in zip(edges, edges[1:]):
+            key = tuple(keys[i].tolist())
+            if key != last and held:
+                yield from _tile(held)
+                held = []
+            held.append(t.slice(i, j - i))
+            last = key
+    if held:
+        yield from _tile(held)
+
+
+def _tile(held: list[pa.Table]) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
+    t = (held[0] if len(held) == 1 else pa.concat_tables(held)).combine_chunks()
+    side = t.column("side").to_numpy()
+    a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    if len(a) and len(b):
+        yield t, a, b
+
+
+_TILE = "band long, ta int, tb int, side int, id long, n long, root long"
+
+
+def plausible_tiles(rows: DataFrame, threshold: float, miss: float, percent: int) -> DataFrame:
+    """Rows of a tile that some pair of the tile still needs: different components, sizes that allow the threshold,
+    no band shared before this one, and no batch of the signatures that rules the pair out."""
+    steps = needed_matches(threshold, miss)
+    names = ["band", "ta", "tb", "side", "id", "n", "root"]
+
+    def run(batches):
+        for t, a, b in tile_groups(batches):
+            sig, n, root = _matrix(t.column("sig").chunk(0)), t.column("n").to_numpy(), t.column("root").to_numpy()
+            place = int(t.column("place")[0].as_py())
+            least, most = np.minimum(n[a][:, None], n[b]), np.maximum(n[a][:, None], n[b])
+            ia, ib = np.nonzero((root[a][:, None] != root[b]) & (least * 100 >= most * percent))
+            needed = np.zeros(t.num_rows, bool)
+            for i in range(0, len(ia), 20_000):
+                x, y = a[ia[i : i + 20_000]], b[ib[i : i + 20_000]]
+                matches, done = np.zeros(len(x), np.int32), 0
+                for end, fewest in steps:
+                    matches += (sig[x, done:end] == sig[y, done:end]).sum(axis=1, dtype=np.int32)
+                    alive, done = matches >= fewest, end
+                    x, y, matches = x[alive], y[alive], matches[alive]
+                for band in range(place):
+                    at = slice(band * ROWS, (band + 1) * ROWS)
+                    alive = (sig[x, at] != sig[y, at]).any(axis=1)
+                    x, y = x[alive], y[alive]
+                needed[x] = needed[y] = True
+            if needed.any():
+                kept = t.select(names).take(pa.array(np.flatnonzero(needed)))
+                yield from kept.combine_chunks().to_batches()
+
+    rows = rows.select("band", "ta", "tb", "side", "id", "n", "root", "place", "sig")
+    return rows.repartition("band", "ta", "tb").sortWithinPartitions("band", "ta", "tb", "side").mapInArrow(run, _TILE)
+
+
+def exact_tiles(rows: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (a, b) inside tiles, confirmed on full sets: for each class of side 0 one link to each component."""
+
+    def run(batches):
+        for t, a, b in tile_groups(batches):
+            sets = list(shingle_sets(t.column("text").chunk(0), width))
+            n, root, ids = np.array([len(s) for s in sets]), t.column("root").to_numpy(), t.column("id").to_numpy()
+            order = b[np.argsort(root[b], kind="stable")]
+            order = order[n[order] > 0]
+            if not len(order):
+                continue
+            held, codes = np.unique(np.concatenate([sets[i] for i in order]), return_inverse=True)
+            at = np.concatenate(([0], np.cumsum(n[order])))[:-1]
+            links = []
+            for x in a.tolist():
+                place = np.searchsorted(held, sets[x])
+                hit = held[np.minimum(place, len(held) - 1)] == sets[x]
+                mark = np.zeros(len(held), np.int32)
+                mark[place[hit]] = 1
+                both = np.add.reduceat(mark[codes], at)
+                found = order[(100 * both >= percent * (n[x] + n[order] - both)) & (root[order] != root[x])]
+                if len(found):
+                    found = found[np.unique(root[found], return_index=True)[1]]
+                    links += [(int(ids[x]), int(y)) for y in ids[found]]
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in links], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    rows = rows.join(texts, "id").select("band", "ta", "tb", "side", "id", "n", "root", "text")
+    return rows.repartition("band", "ta", "tb").sortWithinPartitions("band", "ta", "tb", "side").mapInArrow(run, "a long, b long")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, root): for every id in `links` (a, b) the smallest id it is connected with.
 
@@ -216,10 +333,16 @@ def near_duplicates(
     get the component of their class, null if the class has no id, and kept is then true; columns besides id and
     text are not read; an empty table gives an empty result.
     """
+    found = judged(docs, id_col, text_col, width, percent, miss)
+    return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", "kept")
+
+
+def judged(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, miss: float = 1e-7) -> DataFrame:
+    """near_duplicates with a hash of each row's text: id, h, n, digest, component_id, kept."""
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = checkpointed(sketches(docs, "id", "text", width))
+    rows = checkpointed(sketches(docs, width))
     classes = rows.where("digest is not null").groupBy("digest").agg(F.min("id").alias("id"))
-    narrow = rows.select("id", "n", "digest")
+    narrow = rows.select("id", "h", "n", "digest")
     # The smallest id's own row holds its class's signature; rows that repeat an id and a set are alike.
     chosen = rows.join(classes.where("id is not null"), ["digest", "id"], "left_semi").groupBy("digest", "id")
     reps = checkpointed(chosen.agg(F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands")))
@@ -227,7 +350,7 @@ def near_duplicates(
     threshold = percent / 100
 
     # Buckets of two classes or more, and how much company each class has in all.
-    spread = reps.select("id", "n", F.explode("bands").alias("band"))
+    spread = reps.select("id", "n", F.posexplode("bands").alias("place", "band"))
     shared = spread.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
     members = checkpointed(spread.join(shared, "band"))
     company = members.groupBy("id").agg(F.sum("size").alias("company"))
@@ -246,39 +369,27 @@ def near_duplicates(
     links = checkpointed(confirmed(plausible(first, sigs, threshold, miss), texts, width, percent))
     comps = components(links)
 
-    # What still shares a bucket but no component: buckets are first reduced to the components that meet there.
-    in_comp = members.join(comps, "id", "left").select("band", "id", "n", F.coalesce("root", "id").alias("root"))
-    in_comp = checkpointed(in_comp)
+    # Buckets in which components meet: all but the largest component's classes against every class.
+    in_comp = checkpointed(members.join(comps, "id", "left").select("band", "place", "size", "id", "n", F.coalesce("root", "id").alias("root")))
     meet = in_comp.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("band")
-    mixed = in_comp.join(meet, "band", "left_semi")
-    left, right = (mixed.select("band", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "root")]) for s in "ab")
-    rest = (
-        left.join(right, "band")
-        .where("root_a < root_b")
-        .where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-        .select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
-        .distinct()
-    )
-    more = confirmed(plausible(rest, sigs, threshold, miss), texts, width, percent)
+    largest = in_comp.join(meet, "band").groupBy("band", "root").agg(F.count("*").alias("c")).groupBy("band")
+    largest = largest.agg(F.max(F.struct("c", "root")).alias("m"), F.sum("c").alias("c"))
+    mixed = in_comp.join(largest.select("band", F.col("m.root").alias("main"), (F.col("c") - F.col("m.c")).alias("others")), "band")
+    more = exact_tiles(plausible_tiles(tiles(mixed).join(sigs, "id"), threshold, miss, percent), texts, width, percent)
     linked = links.unionByName(more)
     # Rows that share an id tie their classes together: both carry that id, so no link is needed for them.
     roots = components(linked)
     by_class = reps.select("digest", "id").join(roots, "id", "left").select("digest", F.coalesce("root", "id").alias("root"))
-    found = narrow.join(by_class, "digest", "left")
     component = F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("root"))
-    return found.select(
-        F.col("id").alias(id_col),
-        F.col("n").alias("n_shingles"),
-        component.alias("component_id"),
-        component.eqNullSafe(F.col("id")).alias("kept"),
-    )
+    found = narrow.join(by_class, "digest", "left").withColumn("component_id", component)
+    return found.withColumn("kept", F.col("component_id").eqNullSafe(F.col("id")))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of docs whose document is its component's smallest id; of rows alike in id and text, one.
 
-    Rows without an id are kept if no document with an id is connected with them; input columns are untouched.
+    Rows without an id stay if no document with an id is connected with them. Input columns are untouched.
     """
-    found = near_duplicates(docs, id_col, text_col, width, percent)
-    kept = found.where("kept").select(id_col).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(kept[id_col]), "left_semi").dropDuplicates([id_col, text_col])
+    kept = judged(docs, id_col, text_col, width, percent).where("kept").select("id", "h").distinct()
+    same = docs[id_col].cast("long").eqNullSafe(kept["id"]) & (F.xxhash64(docs[text_col]) == kept["h"])
+    return docs.join(kept, same, "left_semi").dropDuplicates([id_col, text_col])
