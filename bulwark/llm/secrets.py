@@ -75,13 +75,26 @@ def pairs(token: Column) -> Column:
     return F.transform(places, number)
 
 
+#: Weight of a character's overall share in its share after another one.
+BACKOFF = 5.0
+
+
 def ratios(counts: dict[bool, dict[int, int]]) -> list[float]:
-    """log P(character | one before, random) - log P(the same, ordinary), add-one smoothed."""
+    """log P(character | one before, random) - log P(the same, ordinary); pairs back off to single characters.
+
+    Each pair of the ordinary sample counts one less than it was seen: a secret that no pattern matched is in that
+    sample too, and must not vouch for itself.
+    """
     logs = {}
     for random in (True, False):
-        mine = counts.get(random, {})
-        totals = [sum(mine.get(a * WIDTH + b, 0) for b in range(WIDTH)) for a in range(WIDTH)]
-        logs[random] = [math.log((mine.get(a * WIDTH + b, 0) + 1) / (totals[a] + WIDTH)) for a in range(WIDTH) for b in range(WIDTH)]
+        mine, less = counts.get(random, {}), 0 if random else 1
+        rows = [[mine.get(a * WIDTH + b, 0) for b in range(WIDTH)] for a in range(WIDTH)]
+        alone = [sum(row[b] for row in rows) + 0.5 for b in range(WIDTH)]
+        share = [c / sum(alone) for c in alone]
+        logs[random] = []
+        for row in rows:
+            spare = BACKOFF + less * sum(c > 0 for c in row)
+            logs[random] += [math.log((max(c - less, 0) + spare * p) / (sum(row) + BACKOFF)) for c, p in zip(row, share, strict=True)]
     return [r - o for r, o in zip(logs[True], logs[False], strict=True)]
 
 
