@@ -2,8 +2,8 @@
 
 The standard library's parser streams events. Block tags end a line. A line has its text, the tags inside it, and
 the container it stands in; text inside menus, headers, footers, sidebars, notices, adverts, forms, scripts and
-reader comments counts for nothing. Text-to-tag ratios are smoothed along the page, and runs of lines of one
-container whose smoothed ratio reaches the page's deviation from the mean are content regions.
+reader comments counts for nothing. Text-to-tag ratios are smoothed along each container's lines, and containers whose
+smoothed ratio reaches the page's standard deviation are content regions.
 """
 
 from __future__ import annotations
@@ -61,7 +61,7 @@ class Lines(HTMLParser):
         self.parts, self.tags = [], 0
 
     def handle_starttag(self, tag, attrs):
-        if tag not in INLINE:
+        if tag not in INLINE and tag not in HIDDEN:
             self.end_line()
         self.tags += 1
         if tag == "br":
@@ -107,7 +107,7 @@ class Lines(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        if tag not in INLINE:
+        if tag not in INLINE and tag not in HIDDEN:
             self.end_line()
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] == tag:
@@ -148,7 +148,13 @@ def main_text(html: str | None, sigma: float = SIGMA) -> str:
         lines = [x for x in lines if x[3]]
     if not lines:
         return ""
-    ratio = smoothed([len(text) / (tags + 1) for text, tags, _, _ in lines], sigma)
+    ratio = [0.0] * len(lines)
+    runs: dict[int, list[int]] = {}
+    for i, line in enumerate(lines):
+        runs.setdefault(line[2], []).append(i)
+    for run in runs.values():  # a container's lines lend nothing to their neighbours outside
+        for i, r in zip(run, smoothed([len(lines[i][0]) / (lines[i][1] + 1) for i in run], sigma), strict=True):
+            ratio[i] = r
     mean = sum(ratio) / len(ratio)
     least = math.sqrt(sum((r - mean) ** 2 for r in ratio) / len(ratio))
     # A region is a container's lines; short lines of a region that holds content are content.
