@@ -133,4 +133,5 @@ def mix(
         .where(F.col("__begin") < F.col("want"))
         .withColumn("block", F.call_function("div", F.col("__begin") * blocks, F.col("want")).cast("int"))
     )
-    return out.drop("__source", "__n", "n", "want", "__key", "__deal", "__front", "__within", "__begin"), plan
+    given = [F.col(f"`{c}`") for c in rows.columns if c not in ("__source", "__n")]
+    return out.select(*given, F.col("epoch").cast("int").alias("epoch"), "block", "weight"), plan
