@@ -125,10 +125,10 @@ def noise_mix(text: Column, row_id: Column, level: float = 0.15, seed: int = SEE
 
 
 def _blocks(text: Column, overlap: int) -> Column:
-    """The text in pieces of BLOCK characters, each with `overlap` characters of the next one."""
-    last = F.floor(F.greatest(F.length(text) - 1, F.lit(0)) / BLOCK).cast("int")
-    return F.transform(
-        F.sequence(F.lit(0), last), lambda i: F.substring(text, i * BLOCK + 1, F.lit(BLOCK + overlap)))
+    """The text in pieces of BLOCK characters, each with `overlap` characters of the next one, in one pass."""
+    piece = f"(?s)(?=(.{{1,{BLOCK + overlap}}})).{{1,{BLOCK}}}"
+    pieces = F.regexp_extract_all(text, F.lit(piece), F.lit(1))
+    return F.when(text == "", F.array(F.lit(""))).otherwise(pieces)
 
 
 def _edit_places(text: Column, row_id: Column, name: str, n: int, seed: int, runs: str, filler: str,
@@ -280,10 +280,7 @@ def chosen_synonym(options: Column, word: Column, row_id: Column, rank: Column,
 
 
 def synonym(text: Column, row_id: Column, synonyms: Column, n: int = 3, seed: int = SEED) -> Column:
-    """Replace `n` words by synonyms from a map<word, array<synonym>> column of bounded size.
-
-    For dictionaries without a size bound see operators.corpus.substitute_words.
-    """
+    """Replace `n` words by synonyms from a map<word, array<synonym>> column (operators.corpus.with_synonym_map)."""
 
     def body(pieces: Column) -> Column:
         def with_ranks(ranks: Column) -> Column:

@@ -43,8 +43,7 @@ def align_text(labels: DataFrame, texts: DataFrame, row_id: str, key: str = "doc
 def remove_selected(pool: DataFrame, selected: DataFrame, text: str = "text") -> DataFrame:
     """Pool without every row whose text equals a selected one. `selected` is one round's budget."""
     gone = selected.select(text_digest(F.col(text)).alias("_digest")).distinct()
-    return pool.withColumn("_digest", text_digest(F.col(text))).join(
-        F.broadcast(gone), "_digest", "left_anti").drop("_digest")
+    return pool.withColumn("_digest", text_digest(F.col(text))).join(gone, "_digest", "left_anti").drop("_digest")
 
 
 def pair_predictions(clean: DataFrame, perturbed: DataFrame, row_id: str) -> DataFrame:
@@ -59,7 +58,7 @@ def pair_predictions(clean: DataFrame, perturbed: DataFrame, row_id: str) -> Dat
 
 def label_names(df: DataFrame, names: DataFrame, key: str, name: str) -> DataFrame:
     """Readable label from a class dictionary (one row per class), else the id as text."""
-    return df.join(F.broadcast(names.select(key, name)), key, "left").withColumn(
+    return df.join(names.select(key, name), key, "left").withColumn(
         "label_name", F.coalesce(name, F.col(key).cast("string"))).drop(name)
 
 

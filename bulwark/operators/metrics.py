@@ -20,11 +20,11 @@ def balanced(total: Column, classes: Column, size: Column) -> Column:
 
 
 def class_weights(df: DataFrame, label: str, num_classes: int) -> DataFrame:
-    """Balanced weight per class of 0..num_classes-1; 1.0 for classes without rows."""
+    """Balanced weight per class of 0..num_classes-1 and of every other class found; 1.0 for classes without rows."""
     counts = df.groupBy(F.col(label).cast("int").alias("class")).agg(F.count("*").alias("n"))
     s = counts.agg(F.struct(F.sum("n").alias("total"), F.count("*").alias("k")).alias("s")).scalar()
     classes = df.sparkSession.range(num_classes).select(F.col("id").cast("int").alias("class"))
-    return classes.join(counts, "class", "left").select(
+    return classes.join(counts, "class", "full").where("class is not null").select(
         "class", F.coalesce(balanced(s["total"], s["k"], F.col("n")), F.lit(1.0)).alias("weight"))
 
 
@@ -70,7 +70,7 @@ def per_class_scores(matrix: DataFrame) -> DataFrame:
     )).alias("s")).select("s.*")
     c = sides.groupBy("label").agg(*[F.sum(x).alias(x) for x in ("tp", "fp", "fn")])
     tp, fp, fn, tn = (F.col(x) for x in ("tp", "fp", "fn", "tn"))
-    total = F.sum(tp + fn).over(Window.partitionBy())  # one row per class
+    total = c.agg(F.sum(tp + fn)).scalar()
     return c.withColumn("tn", total - tp - fp - fn).select(
         "label", "tp", "fp", "fn", "tn",
         ratio(tp, tp + fp).alias("precision"), ratio(tp, tp + fn).alias("recall"),
@@ -109,14 +109,14 @@ def summary_metrics(scores: DataFrame) -> DataFrame:
 
 def classification_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """(metric, value), with one f1_<class> row per class."""
-    scores = per_class_scores(confusion_matrix(df, label, prediction))
+    scores = per_class_scores(confusion_counts(df, label, prediction))
     return summary_metrics(scores).unionByName(scores.select(
         F.concat(F.lit("f1_"), F.col("label").cast("string")).alias("metric"), F.col("f1").alias("value")))
 
 
 def classification_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Rows per class, then accuracy, macro avg and weighted avg."""
-    scores = per_class_scores(confusion_matrix(df, label, prediction))
+    scores = per_class_scores(confusion_counts(df, label, prediction))
     rows = scores.select(F.col("label").cast("string").alias("class"), "precision", "recall",
                          F.col("f1").alias("f1_score"), "support")
     s = _summary(scores).select(F.explode(F.array(
@@ -209,10 +209,10 @@ def selection_log(selected: DataFrame, pool: DataFrame, strategy: str, budget: i
     ).select(F.lit(strategy).alias("strategy"), F.lit(budget).alias("budget"), size.alias("pool_size"), "*")
 
 
-def iteration_summary(events: DataFrame, event_types, metrics: DataFrame) -> DataFrame:
-    """Per iteration: events, events per type, and the metrics logged for it."""
-    counts = events.groupBy("iteration").pivot("event_type", list(event_types)).agg(F.count("event_type")).na.fill(0)
-    total = reduce(lambda a, b: a + b, [F.col(t) for t in event_types])
+def iteration_summary(events: DataFrame, metrics: DataFrame) -> DataFrame:
+    """Per iteration and type of event found: events of the type, all events, and the metrics logged for it."""
+    counts = events.groupBy("iteration", "event_type").agg(F.count("*").alias("n"))
+    total = F.sum("n").over(Window.partitionBy("iteration"))  # one row per type
     return counts.withColumn("n_events", total).join(metrics, "iteration", "left")
 
 
@@ -239,9 +239,9 @@ def robustness_summary(runs: DataFrame) -> DataFrame:
     )
 
 
-def metrics_pivot(long: DataFrame, models, name: str = "model") -> DataFrame:
-    """Metric rows, model columns, four decimals, N/A where a model lacks the metric."""
-    wide = long.groupBy("metric").pivot(name, list(models)).agg(F.first(F.format_string("%.4f", F.col("value"))))
+def metrics_pivot(long: DataFrame, name: str = "model") -> DataFrame:
+    """Metric rows, a column for every model found, four decimals, N/A where a model lacks the metric."""
+    wide = long.groupBy("metric").pivot(name).agg(F.first(F.format_string("%.4f", F.col("value"))))
     return wide.na.fill("N/A")
 
 

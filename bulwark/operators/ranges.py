@@ -42,11 +42,11 @@ def kth_smallest(df: DataFrame, col: str, k: int, lo: float, hi: float, n: int,
 
 
 def exact_quantile(df: DataFrame, col: str, q: float, one_task: int = ONE_TASK) -> Column:
-    """Linearly interpolated quantile, as an aggregate if one task can hold the column, else a literal."""
-    d = df.select(F.col(col).cast("double").alias(col)).where(F.col(col).isNotNull())
+    """Linearly interpolated quantile as a literal, null without values. The column is computed once."""
+    d = checkpointed(df.select(F.col(col).cast("double").alias(col)).where(F.col(col).isNotNull()))
     lo, hi, n = d.agg(F.min(col), F.max(col), F.count("*")).first()
-    if n <= one_task:
-        return F.percentile(col, q)
+    if not n:
+        return F.lit(None).cast("double")
     at = q * (n - 1)
     low = kth_smallest(d, col, math.floor(at), lo, hi, n, one_task)
     high = low if at == math.floor(at) else kth_smallest(d, col, math.ceil(at), lo, hi, n, one_task)

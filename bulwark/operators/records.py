@@ -66,18 +66,15 @@ def reduce_labels(df: DataFrame, label: str, k: int = 15, fit_on: Column | None
 
 
 def label_dictionary(df: DataFrame, label: str = "label_mapped") -> DataFrame:
-    """(label, label_id_encoded): sorted labels numbered from 0.
-
-    One row per label of a reduced label space (k + OTHER), which one array holds.
-    """
-    labels = df.agg(F.array_sort(F.collect_set(label)).alias("labels"))
-    return labels.select(F.posexplode("labels").alias("label_id_encoded", label))
+    """(label_id_encoded, label): sorted labels numbered from 0. The window sees one row per label."""
+    labels = df.select(label).where(F.col(label).isNotNull()).distinct()
+    return labels.select((F.row_number().over(Window.orderBy(label)) - 1).alias("label_id_encoded"), label)
 
 
 def encode_labels(df: DataFrame, label: str = "label_mapped", dictionary: DataFrame | None = None) -> DataFrame:
-    """Add label_id_encoded from a reduced label space's dictionary; unknown labels are dropped."""
+    """Add label_id_encoded from a dictionary; unknown labels are dropped."""
     dictionary = label_dictionary(df, label) if dictionary is None else dictionary
-    return df.join(F.broadcast(dictionary), label, "left").where(F.col("label_id_encoded").isNotNull())
+    return df.join(dictionary, label)
 
 
 def word_count_profile(train: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -166,25 +167,25 @@ def _smallest_draws(drawn: DataFrame, row_id: str, keys: list[str], n: int) -> D
     """Exactly the n rows with the smallest draws (per key).
 
     Counts per bucket of the draw give the last bucket needed and how many rows lie in front of it.
-    Rows of earlier buckets are all taken; ranks are needed in the last one only, and no task ever
-    ranks more than the rows of one bucket, 1/BUCKETS of a class, however hot it is.
+    Rows of earlier buckets are all taken as they are; only the last one is ranked, so no task ever
+    ranks more than the rows of one bucket, 1/BUCKETS of a class, however hot it is. Null is a key
+    like any other.
     """
     upto = F.sum("n").over(Window.partitionBy(*keys).orderBy("_bucket"))  # at most BUCKETS rows per key
     counts = drawn.groupBy(*keys, "_bucket").agg(F.count("*").alias("n")).withColumn("_before", upto - F.col("n"))
     last = counts.where(F.col("_before") < n).groupBy(*keys).agg(
         F.max("_bucket").alias("_last"), F.max("_before").alias("_before"))
     if keys:
-        cut = drawn.join(F.broadcast(last), keys)  # one row per class of a reduced label space
+        own = last.select(*[F.col(k).alias(f"_of_{k}") for k in keys], "_last", "_before")
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+        cut = drawn.join(own, same).drop(*[f"_of_{k}" for k in keys])
     else:
         row = last.select(F.struct("_last", "_before").alias("s")).scalar()
         cut = drawn.withColumn("_s", row).select("*", "_s.*").drop("_s")
     rank = F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy("_u", row_id))
-    return (
-        cut.where(F.col("_bucket") <= F.col("_last"))
-        .withColumn("_rank", rank)
-        .where((F.col("_bucket") < F.col("_last")) | (F.col("_rank") <= n - F.col("_before")))
-        .drop("_u", "_bucket", "_last", "_before", "_rank")
-    )
+    edge = cut.where(F.col("_bucket") == F.col("_last")).withColumn("_rank", rank).where(
+        F.col("_rank") <= n - F.col("_before")).drop("_rank")
+    return cut.where(F.col("_bucket") < F.col("_last")).unionByName(edge).drop("_u", "_bucket", "_last", "_before")
 
 
 def exact_sample(df: DataFrame, row_id: str, n: int, tag: str = "sample", seed: int = SEED) -> DataFrame:
@@ -193,7 +194,7 @@ def exact_sample(df: DataFrame, row_id: str, n: int, tag: str = "sample", seed:
 
 
 def cap_classes(df: DataFrame, row_id: str, label: str, cap: int, tag: str = "cap", seed: int = SEED) -> DataFrame:
-    """At most `cap` rows per class of a reduced label space, the ones with the smallest draws."""
+    """At most `cap` rows per class, the ones with the smallest draws; rows without a class are one."""
     return _smallest_draws(_drawn(df, row_id, tag, seed), row_id, [label], cap)
 
 
@@ -236,9 +237,9 @@ def balance_classes(
 
     `augment(text, row_id, copy, seed)` gives the text of a copy. Adds is_augmented and copy (0 for
     originals). Classes that need filling have fewer than `at_least` rows, so their windows are small.
+    Rows without a class are capped like a class, but not filled.
     """
     small = df.groupBy(label).agg(F.count("*").alias("_size")).where(F.col("_size") < at_least)
-    small = F.broadcast(small)  # one row per class of a reduced label space
     number = F.row_number().over(Window.partitionBy(label).orderBy(uniform(F.col(row_id), "cap", seed), row_id))
     members = df.join(small.select(label), label, "left_semi").withColumn("_member", number)
     wanted = small.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(at_least) - F.col("_size")))).select(

@@ -350,14 +350,13 @@ def selection_log(spark, sf):
 
 @query("iteration_summary", """
     SELECT e.*, m.robust_accuracy
-    FROM (SELECT iteration, count(*) FILTER (event_type = 'click') AS click, count(*) FILTER (event_type = 'error') AS error,
-                 count(*) FILTER (event_type = 'purchase') AS purchase, count(*) FILTER (event_type = 'signup') AS signup,
-                 count(*) FILTER (event_type = 'view') AS view, count(*) AS n_events FROM v_events GROUP BY iteration) e
+    FROM (SELECT iteration, event_type, count(*) AS n, (sum(count(*)) OVER (PARTITION BY iteration))::BIGINT AS n_events
+          FROM v_events GROUP BY iteration, event_type) e
     LEFT JOIN (SELECT iteration, round(avg(robust_accuracy), 6) AS robust_accuracy FROM v_timeline GROUP BY iteration) m
     USING (iteration)""")
 def iteration_summary(spark, sf):
     m = views.timeline(spark, sf).groupBy("iteration").agg(F.round(F.avg("robust_accuracy"), 6).alias("robust_accuracy"))
-    return metrics.iteration_summary(views.audit_events(spark, sf), views.EVENT_TYPES, m)
+    return metrics.iteration_summary(views.audit_events(spark, sf), m)
 
 
 @query("seed_aggregate", """
@@ -418,10 +417,7 @@ def confidence_histogram(spark, sf):
            coalesce(max(printf('%.4f', value)) FILTER (method = 'entropy'), 'N/A') AS entropy,
            coalesce(max(printf('%.4f', value)) FILTER (method = 'margin'), 'N/A') AS margin,
            coalesce(max(printf('%.4f', value)) FILTER (method = 'random'), 'N/A') AS random
-    FROM (SELECT method, metric, avg(value) AS value FROM v_seed_metrics
-          WHERE NOT (method = 'margin' AND metric = 'attack_success_rate') GROUP BY 1, 2) GROUP BY metric""")
+    FROM (SELECT method, metric, avg(value) AS value FROM v_seed_metrics GROUP BY 1, 2) GROUP BY metric""")
 def metrics_pivot(spark, sf):
-    """One method lacks one metric."""
-    long = views.seed_metrics(spark, sf).where("NOT (method = 'margin' AND metric = 'attack_success_rate')")
-    means = long.groupBy("method", "metric").agg(F.avg("value").alias("value"))
-    return metrics.metrics_pivot(means, views.STRATEGIES, "method")
+    means = views.seed_metrics(spark, sf).groupBy("method", "metric").agg(F.avg("value").alias("value"))
+    return metrics.metrics_pivot(means, "method")

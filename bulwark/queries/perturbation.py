@@ -92,7 +92,7 @@ _REPLACEABLE = (rf"length(x) >= 4 AND regexp_full_match(x, '\p{{L}}+') AND lower
 
 
 def synonym_sql(src, n=3):
-    options = "map_extract(syn, lower(w))[1]"
+    options = "map_extract(syn, i)[1]"
     one = f"({options})[{pick_sql('word', 'list_position(elig, i) - 1', f'len({options})')} + 1]"
     capital = f"concat(upper({one}[1]), lower(substring({one}, 2)))"
     old = "upper(w[1]) = w[1] AND lower(w[1]) <> w[1]"
@@ -101,8 +101,10 @@ def synonym_sql(src, n=3):
          e AS (SELECT *, list_filter(range(1, len(ws) + 1), lambda j: {_REPLACEABLE.replace('x', 'ws[j]').replace('rege' + 'ws[j]' + 'p', 'regexp')}) AS elig
                FROM w),
          d AS (SELECT *, {draw_sql('synonym', 'len(elig)', n)} AS drawn FROM e),
-         x AS (SELECT *, [elig[j + 1] FOR j IN drawn] AS targets,
-                      (SELECT map_from_entries(list((word, synonyms))) FROM v_synonyms) AS syn FROM d)
+         g AS (SELECT *, [elig[j + 1] FOR j IN drawn] AS targets FROM d),
+         c AS (SELECT doc_id, i, lower(ws[i]) AS word FROM (SELECT doc_id, ws, unnest(targets) AS i FROM g)),
+         f AS (SELECT doc_id, map_from_entries(list((i, synonyms))) AS syn FROM c JOIN v_synonyms USING (word) GROUP BY doc_id),
+         x AS (SELECT g.*, f.syn FROM g LEFT JOIN f USING (doc_id))
     SELECT doc_id, rid, CASE WHEN len(targets) = 0 THEN t ELSE array_to_string(list_transform(ws, lambda w, i:
              CASE WHEN list_contains(targets, i) AND {options} IS NOT NULL
                   THEN CASE WHEN {old} THEN {capital} ELSE {one} END ELSE w END), ' ') END AS t FROM x"""
@@ -144,11 +146,11 @@ views.SQL["v_text"] = "SELECT doc_id, doc_id::VARCHAR AS rid, full_text AS t FRO
 views.SQL["v_copy_text"] = "SELECT doc_id, concat(doc_id, '/1') AS rid, full_text AS t FROM v_docs"
 _TOKENS = f"SELECT unnest({WORDS}) AS x FROM v_text"
 views.SQL["v_synonyms"] = f"""
-    WITH top AS (SELECT lower(x) AS word, count(*) AS n FROM ({_TOKENS}) WHERE {_REPLACEABLE}
-                 GROUP BY 1 ORDER BY n DESC, word LIMIT 200),
-         r AS (SELECT word, row_number() OVER (ORDER BY n DESC, word) - 1 AS r FROM top)
-    SELECT a.word, list(b.word ORDER BY b.r) AS synonyms FROM r a JOIN r b ON a.r // 4 = b.r // 4 AND a.r <> b.r
-    GROUP BY a.word"""
+    WITH w AS (SELECT DISTINCT lower(x) AS word FROM ({_TOKENS}) WHERE {_REPLACEABLE}),
+         r AS (SELECT word, substr(md5(word), 1, 3) AS part,
+                      row_number() OVER (PARTITION BY substr(md5(word), 1, 3) ORDER BY word) - 1 AS r FROM w)
+    SELECT a.word, list(b.word ORDER BY b.r) AS synonyms
+    FROM r a JOIN r b ON a.part = b.part AND a.r // 4 = b.r // 4 AND a.r <> b.r GROUP BY a.word"""
 views.SQL["v_x_synonym"] = synonym_sql("v_text")
 views.SQL["v_x_char_swap"] = swap_sql("v_text")
 views.SQL["v_x_homoglyph"] = homoglyph_sql("v_text")
@@ -175,7 +177,7 @@ texts = views.texts
 
 
 def dictionary(spark, sf):
-    return corpus.co_occurring_words(texts(spark, sf), "full_text")
+    return corpus.word_groups(texts(spark, sf), "full_text")
 
 
 def text():
@@ -217,13 +219,13 @@ def perturb_synonym(spark, sf):
 
 @query("perturb_combined", "SELECT doc_id, t AS adv_text FROM v_x_combined")
 def perturb_combined(spark, sf):
-    d = corpus.with_synonym_map(texts(spark, sf), dictionary(spark, sf))
+    d = corpus.with_synonym_map(texts(spark, sf), "doc_id", "full_text", dictionary(spark, sf))
     return d.select("doc_id", perturb.combined(text(), row_id(), F.col("_synonyms")).alias("adv_text"))
 
 
 @query("perturb_random_choice", "SELECT doc_id, t AS adv_text FROM v_x_random")
 def perturb_random_choice(spark, sf):
-    d = corpus.with_synonym_map(texts(spark, sf), dictionary(spark, sf))
+    d = corpus.with_synonym_map(texts(spark, sf), "doc_id", "full_text", dictionary(spark, sf))
     return d.select("doc_id", perturb.random_choice(text(), row_id(), F.col("_synonyms")).alias("adv_text"))
 
 
@@ -254,5 +256,5 @@ _SUITE = ("synonym", "char_swap", "homoglyph", "keyboard_typo", "char_deletion",
     f"SELECT doc_id, '{a}' AS attack, {i} AS attack_order, t AS adv_text FROM v_x_{a}" for i, a in enumerate(_SUITE)))
 def attack_suite(spark, sf):
     """Every document under every attack, from one scan."""
-    d = corpus.with_synonym_map(texts(spark, sf), dictionary(spark, sf))
+    d = corpus.with_synonym_map(texts(spark, sf), "doc_id", "full_text", dictionary(spark, sf))
     return corpus.perturb_corpus(d, "doc_id", perturb.attack_suite(text(), row_id(), F.col("_synonyms")))

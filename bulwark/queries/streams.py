@@ -32,8 +32,8 @@ def stream_ingest_flag(spark, sf):
         "doc_id", "word_count", "char_count", *records.ROW_FLAGS, "route")
 
 
-@query("stream_dedup", "SELECT DISTINCT upper(sha256(full_text)) AS text_hash, full_text FROM v_docs")
+@query("stream_dedup", """
+    SELECT upper(sha256(full_text)) AS text_hash, min(doc_id) AS doc_id, full_text FROM v_docs GROUP BY full_text""")
 def stream_dedup(spark, sf):
     base = scratch_path(spark, "stream")
-    unique = ingest.dedup_stream(documents(spark, sf), "doc_id")
-    return ingest.drain(unique, f"{base}/out", f"{base}/checkpoint").select("text_hash", "full_text")
+    return ingest.dedup_to_store(documents(spark, sf), "doc_id", f"{base}/store", f"{base}/checkpoint")

@@ -12,7 +12,6 @@ from bulwark.session import spread
 
 STRATEGIES = ("entropy", "margin", "random")
 ATTACKS = ("synonym", "char_swap", "homoglyph", "keyboard_typo", "char_deletion")
-EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -68,8 +67,7 @@ def mentions(spark, sf) -> DataFrame:
         "conv_id", "turn",
         (F.col("conv_id") * 1000 + F.col("turn")).alias("rec_id"),
         F.concat(F.lit(" Conv_"), F.col("conv_id").cast("string"), F.lit(".txt")).alias("document"),
-        F.when(F.pmod(F.col("turn"), F.lit(5)) != 4, F.col("mention")).alias("mention"),
-        "sentence_left", "sentence_right", "context_left", "context_right",
+        "mention", "sentence_left", "sentence_right", "context_left", "context_right",
         F.when(F.pmod(n, F.lit(10)) == 0, F.lit(None).cast("string"))
         .when(F.pmod(n, F.lit(10)) == 1, F.lit("https://example.org/groups/G7"))
         .otherwise(F.concat(F.lit("https://example.org/techniques/T"), n.cast("string")))
@@ -118,7 +116,12 @@ def predictions(spark, sf) -> DataFrame:
 
 
 def probs(spark, sf) -> DataFrame:
-    logits = F.transform(F.slice("embedding", 1, 10), lambda x: x.cast("double") * 8)
+    """Every tenth component, from the class on, adds up to the class's logit: all of a vector counts."""
+    def logit(c):
+        mine = F.filter("embedding", lambda x, i: F.pmod(i, F.lit(10)) == c)
+        return F.aggregate(mine, F.lit(0.0), lambda a, x: a + x.cast("double")) * 4
+
+    logits = F.transform(F.sequence(F.lit(0), F.lit(9)), logit)
     return table(spark, sf, "embeddings").select("vec_id", "label", vectors.softmax(logits).alias("probs"))
 
 
@@ -246,8 +249,7 @@ SQL = {
     "v_mentions": """
         SELECT conv_id, turn, conv_id * 1000 + turn AS rec_id,
                ' Conv_' || conv_id || '.txt' AS document,
-               CASE WHEN turn % 5 <> 4 THEN mention END AS mention,
-               sentence_left, sentence_right, context_left, context_right,
+               mention, sentence_left, sentence_right, context_left, context_right,
                CASE WHEN ((conv_id * 37 + turn * 11) % 190 + 1000) % 10 = 0 THEN NULL
                     WHEN ((conv_id * 37 + turn * 11) % 190 + 1000) % 10 = 1 THEN 'https://example.org/groups/G7'
                     ELSE 'https://example.org/techniques/T' || ((conv_id * 37 + turn * 11) % 190 + 1000) END
@@ -271,7 +273,9 @@ SQL = {
                CASE WHEN {u_sql('vec_id', '2')} < 0.25 THEN (label + 5) % 10 ELSE label END AS defended_pred
         FROM embeddings""",
     "v_logits": """
-        SELECT vec_id, label, [x::DOUBLE * 8 FOR x IN embedding[1:10]] AS logits FROM embeddings""",
+        SELECT vec_id, label,
+               [4 * list_sum([embedding[i]::DOUBLE FOR i IN range(c, len(embedding) + 1, 10)]) FOR c IN range(1, 11)] AS logits
+        FROM embeddings""",
     "v_probs": """
         SELECT vec_id, label, [x / list_sum(e) FOR x IN e] AS probs
         FROM (SELECT vec_id, label, [exp(x - list_max(logits)) FOR x IN logits] AS e FROM v_logits)""",

@@ -32,20 +32,40 @@ def flag_stream(stream: DataFrame, bounds: Column, labels: DataFrame, label: str
 
 
 def dedup_stream(stream: DataFrame, row_id: str, text: str = "full_text", salts: int = DEDUP_SALTS,
-                 event_time: str | None = None, delay: str = "1 hour") -> DataFrame:
-    """First row per text.
+                 *, event_time: str, delay: str = "1 hour") -> DataFrame:
+    """First row per text within `delay` of event time; which one is first is the stream's choice.
 
     A text that fills a large share of the stream is first reduced within `salts` parts of its
-    rows, so the second step sees at most `salts` rows of it per batch. With an event time the
-    remembered texts expire after `delay`.
+    rows, so the second step sees at most `salts` rows of it per batch. Remembered texts expire
+    after `delay`, so the state is bounded; dedup_to_store remembers all of them.
     """
     salt = F.pmod(F.xxhash64(row_id), F.lit(salts))
     keyed = stream.withColumns({"text_hash": F.hex(text_digest(F.col(text))), "_salt": salt})
-    if event_time:
-        marked = keyed.withWatermark(event_time, delay)
-        parts = marked.dropDuplicatesWithinWatermark(["text_hash", "_salt"])
-        return parts.dropDuplicatesWithinWatermark(["text_hash"]).drop("_salt")
-    return keyed.dropDuplicates(["text_hash", "_salt"]).dropDuplicates(["text_hash"]).drop("_salt")
+    marked = keyed.withWatermark(event_time, delay)
+    parts = marked.dropDuplicatesWithinWatermark(["text_hash", "_salt"])
+    return parts.dropDuplicatesWithinWatermark(["text_hash"]).drop("_salt")
+
+
+def dedup_to_store(stream: DataFrame, row_id: str, store: str, checkpoint: str, text: str = "full_text") -> DataFrame:
+    """Keep the smallest id of each text per batch, and only texts that the store doesn't hold yet.
+
+    What is remembered is the store itself, a table of digests and texts, so the query keeps no
+    state. A batch that is repeated after a failure overwrites its own folder.
+    """
+    spark = stream.sparkSession
+
+    def add(batch: DataFrame, number: int) -> None:
+        keyed = batch.withColumn("text_hash", F.hex(text_digest(F.col(text))))
+        # Ids are combined before the shuffle; a text that fills the batch costs one row per task.
+        first = keyed.groupBy("text_hash").agg(F.min(row_id).alias(row_id))
+        if number:
+            known = spark.read.parquet(store).where(F.col("batch") < number).select("text_hash")
+            first = first.join(known, "text_hash", "left_anti")
+        rows = keyed.select(row_id, text).join(first, row_id).dropDuplicates([row_id, "text_hash"])
+        rows.select("text_hash", row_id, text).write.mode("overwrite").parquet(f"{store}/batch={number}")
+
+    stream.writeStream.foreachBatch(add).trigger(availableNow=True).option("checkpointLocation", checkpoint).start().awaitTermination()
+    return spark.read.parquet(store).drop("batch")
 
 
 def drain(stream: DataFrame, sink: str, checkpoint: str) -> DataFrame:

@@ -69,10 +69,11 @@ def dictionary(spark):
     return spark.createDataFrame([(w, [w + "x", w + "y"]) for w in vocabulary], "word string, synonyms array<string>")
 
 
-def test_synonyms_by_map_and_by_join_agree(table, dictionary):
+def test_synonyms_salted_or_not(spark, table, dictionary):
     a = corpus.synonym_attack(table, "id", "t", dictionary)
-    b = corpus.substitute_words(table, "id", "t", dictionary, floor=1, salts=4)
-    c = corpus.synonym_attack(table, "id", "t", dictionary, map_rows=1)
+    b = corpus.synonym_attack(table, "id", "t", dictionary, floor=1, salts=4)
+    c = corpus.synonym_attack(table, "id", "t", dictionary.unionByName(
+        spark.createDataFrame([(None, ["never"])], dictionary.schema)))
     key = lambda df: sorted((r["id"], r["adv_text"]) for r in df.collect())
     assert key(a) == key(b) == key(c)
     got = dict(key(a))
@@ -105,10 +106,10 @@ def test_augmentations(table, spark):
 
 
 def test_layout_does_not_matter(table, dictionary):
-    d = corpus.with_synonym_map(table, dictionary)
+    d = corpus.with_synonym_map(table, "id", "t", dictionary)
     suite = perturb.attack_suite(T(), I(), F.col("_synonyms"))
     a = sorted(tuple(r) for r in corpus.perturb_corpus(d, "id", suite).collect())
-    d2 = corpus.with_synonym_map(table.repartition(7, "t"), dictionary)
+    d2 = corpus.with_synonym_map(table.repartition(7, "t"), "id", "t", dictionary)
     b = sorted(tuple(r) for r in corpus.perturb_corpus(d2, "id", perturb.attack_suite(T(), I(), F.col("_synonyms"))).collect())
     assert a == b and len(a) == len(TEXTS) * 8
 
@@ -119,3 +120,34 @@ def test_noise_mix_shares(spark):
     n = {r["x"]: r["count"] for r in got}
     assert set(n) == {"some vowels", "sm vwls", "somesome vowelsvowels"}
     assert abs(n["sm vwls"] - 800) < 120 and abs(n["somesome vowelsvowels"] - 800) < 120
+
+
+def test_word_groups_hold_every_word(spark):
+    df = spark.createDataFrame([("Apple banana cherry the damson",), ("apple elderberry x1y2",)], "t string")
+    got = {r["word"]: r["synonyms"] for r in corpus.word_groups(df, "t").collect()}
+    assert set(got) == {"apple", "banana", "cherry", "damson", "elderberry"}
+    assert all(w not in s for w, s in got.items())
+
+
+def test_blocks_cut_everywhere_the_same(spark):
+    texts = ["", "a", "b" * 256, "c" * 257, "line\n" * 200, "é𝔘" * 300]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for overlap in (0, 1):
+        for t, got in zip(texts, [r[0] for r in df.select(perturb._blocks(F.col("t"), overlap)).collect()]):
+            assert got == [t[i : i + perturb.BLOCK + overlap] for i in range(0, max(1, len(t)), perturb.BLOCK)]
+
+
+def test_edits_are_linear_in_the_text(spark):
+    import time
+
+    def seconds(n):
+        df = spark.createDataFrame([(i, "åbcdé " * (n // 6)) for i in range(4)], "id long, t string").cache()
+        df.count()
+        best = 1e9
+        for _ in range(3):
+            t0 = time.time()
+            df.select(F.sum(F.length(perturb.char_swap(T(), I())))).collect()
+            best = min(best, time.time() - t0)
+        return best
+
+    assert seconds(800_000) < 5 * seconds(200_000) + 0.5

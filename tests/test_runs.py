@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bulwark.operators import learning, records
+from bulwark.functions import perturb
+from bulwark.operators import learning, metrics, records
 from bulwark.plans import active, guard
 from bulwark.queries import learning as learning_queries
 from bulwark.queries import views
@@ -85,13 +86,13 @@ def test_stream_goes_on_from_its_checkpoint(spark, tmp_path):
         write_lines(f"{incoming}/{name}.json", [{"id": i, "full_text": t} for i, t in rows])
 
     def drain():
-        stream = ingest.dedup_stream(ingest.file_stream(spark, incoming, schema, "*.json", "json"), "id")
-        return sorted(r["full_text"] for r in ingest.drain(stream, f"{base}/out", f"{base}/cp").collect())
+        stream = ingest.file_stream(spark, incoming, schema, "*.json", "json")
+        return sorted((r["full_text"], r["id"]) for r in ingest.dedup_to_store(stream, "id", f"{base}/out", f"{base}/cp").collect())
 
-    arrive([(i, "hot") for i in range(100)] + [(200, "a")], "one")
-    assert drain() == ["a", "hot"]
-    arrive([(300, "hot"), (301, "b"), (302, "b")], "two")
-    assert drain() == ["a", "b", "hot"]
+    arrive([(i, "hot") for i in range(99, 0, -1)] + [(200, "a"), (200, "a")], "one")
+    assert drain() == [("a", 200), ("hot", 1)]
+    arrive([(300, "hot"), (302, "b"), (301, "b")], "two")
+    assert drain() == [("a", 200), ("b", 301), ("hot", 1)]
 
 
 def test_dedup_with_event_time(spark, tmp_path):
@@ -126,6 +127,45 @@ def test_model_scores_and_runs(spark, sf):
     values = {r["metric"]: r["value"] for r in learning.evaluate(model, test).collect()}
     assert set(values) == {"accuracy", "f1_weighted", "precision_weighted", "recall_weighted"}
     assert values["accuracy"] == pytest.approx(values["recall_weighted"])
+    assert learning_queries.sound_metrics(learning.evaluate(model, test))
+
+
+def test_models_beat_the_largest_class_where_words_tell(spark):
+    rows = [(i, f"{'alpha beta' if i % 3 else 'gamma delta'} filler word {i % 7}", "a" if i % 3 else "b") for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, full_text string, label_mapped string")
+    runs = {r["model"]: r for r in learning.robust_runs(df.where("doc_id < 90"), df.where("doc_id >= 90"), "doc_id").collect()}
+    assert runs["LogReg_clean"]["accuracy"] > 0.9
+    assert runs["LogReg_adv_training"]["train_records"] == 2 * runs["LogReg_clean"]["train_records"] == 180
+    assert "train_time_s" not in runs["LogReg_clean"].asDict()
+
+
+def test_training_reads_texts_once(spark, sf):
+    train, _, _ = learning_queries.train_test(spark, sf)
+    table = learning.hashed(train, "label_mapped")
+    assert "full_text" not in plan_of(table) and "parquet" not in plan_of(table).lower()
+    assert table.rdd.getNumPartitions() == learning.drop_incomplete(train, "label_mapped").rdd.getNumPartitions()
+
+
+def test_candidates_come_from_every_attack(spark, sf):
+    train, pool, test = learning_queries.train_test(spark, sf)
+    data = active.prepare(train, pool, test, "doc_id", "label_mapped", active.Settings())
+    n = pool.count()
+    assert {r["attack"]: r["count"] for r in data.hits.groupBy("attack").count().collect()} == dict.fromkeys(
+        perturb.attack_suite(F.lit("x"), F.lit(1), F.lit(None).cast("map<string,array<string>>")), n)
+    found = active.detect(data.model, data, "doc_id", 1.01)
+    assert found.count() == n and set(r[0] for r in found.select("attack").distinct().collect()) <= {"synonym", "char_swap"}
+    mix = active.retraining_mix(data, found.limit(3), "doc_id")
+    assert {r["origin"]: r["count"] for r in mix.groupBy("origin").count().collect()} == {
+        "clean": train.count(), "adversarial_clean": 3, "adversarial": 3}
+
+
+def test_model_under_attack_feeds_the_comparison(spark, sf):
+    train, _, test = learning_queries.train_test(spark, sf)
+    hits = learning.attacked_predictions(learning.train(train), test, "doc_id", "label_mapped", {
+        "none": F.col("full_text"), "empty": F.lit("")})
+    m = {r["attack"]: r for r in metrics.attack_metrics(hits, ("attack",)).collect()}
+    assert m["none"]["n_successful_attacks"] == 0 and m["none"]["robust_accuracy"] == m["none"]["clean_accuracy"]
+    assert m["empty"]["n_samples"] == test.count()
 
 
 def test_active_learning_removes_what_it_selects(spark, sf):

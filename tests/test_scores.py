@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bulwark.functions import vectors
-from bulwark.operators import metrics, ranges, series
+from bulwark.operators import metrics, ranges, records, series
 from bulwark.operators import selection as sel
 
 
@@ -130,13 +130,43 @@ def test_confusion_grid_has_zero_cells(spark):
 
 
 @pytest.mark.parametrize("q", [0.0, 0.25, 0.5, 0.9, 1.0])
-def test_exact_quantile_both_ways(spark, q):
+def test_exact_quantile_at_any_task_size(spark, q):
     rnd = random.Random(3)
     values = [rnd.gauss(0, 1) ** 3 for _ in range(997)] + [0.25] * 500
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    small = df.agg(ranges.exact_quantile(df, "x", q).alias("v")).first()["v"]
-    large = df.agg(ranges.exact_quantile(df, "x", q, one_task=20).alias("v")).first()["v"]
-    assert large == pytest.approx(small, abs=1e-12)
+    plain = df.agg(F.percentile("x", q).alias("v")).first()["v"]
+    for size in (20, 10**6):
+        got = df.agg(ranges.exact_quantile(df, "x", q, one_task=size).alias("v")).first()["v"]
+        assert got == pytest.approx(plain, abs=1e-12)
+    assert df.agg(ranges.exact_quantile(df.limit(0), "x", q).alias("v")).first()["v"] is None
+
+
+def test_nothing_unlisted_is_lost(spark):
+    events = spark.createDataFrame([(0, "click"), (0, "login"), (1, "click"), (0, "login")], "iteration int, event_type string")
+    m = spark.createDataFrame([(0, 0.5)], "iteration int, robust_accuracy double")
+    got = {(r["iteration"], r["event_type"]): (r["n"], r["n_events"], r["robust_accuracy"]) for r in metrics.iteration_summary(events, m).collect()}
+    assert got == {(0, "click"): (1, 3, 0.5), (0, "login"): (2, 3, 0.5), (1, "click"): (1, 1, None)}
+    wide = metrics.metrics_pivot(spark.createDataFrame([("a", "x", 1.0), ("new", "y", 2.0)], "model string, metric string, value double"))
+    assert sorted(map(tuple, wide.select("metric", "a", "new").collect())) == [("x", "1.0000", "N/A"), ("y", "N/A", "2.0000")]
+    weights = metrics.class_weights(spark.createDataFrame([(0,), (7,)], "label int"), "label", 3)
+    assert {r["class"]: r["weight"] for r in weights.collect()} == {0: 1.0, 1: 1.0, 2: 1.0, 7: 1.0}
+
+
+def test_null_class_is_capped_like_a_class(spark):
+    rows = [(i, None if i % 3 == 0 else "a") for i in range(30)]
+    df = spark.createDataFrame(rows, "id long, label string")
+    got = sel.cap_classes(df, "id", "label", 4).groupBy("label").count().collect()
+    assert {r["label"]: r["count"] for r in got} == {None: 4, "a": 4}
+    assert sel.cap_classes(df, "id", "label", 100).count() == 30
+
+
+def test_many_classes(spark):
+    df = spark.range(100_000).select(F.col("id").cast("int").alias("label"), ((F.col("id") + F.col("id") % 2) % 100_000).cast("int").alias("prediction"))
+    scores = metrics.per_class_scores(metrics.confusion_counts(df))
+    assert scores.count() == 100_000
+    assert metrics.summary_metrics(scores).where("metric = 'accuracy'").first()["value"] == pytest.approx(0.5)
+    labels = records.label_dictionary(df.select(F.col("label").cast("string").alias("l")), "l")
+    assert labels.count() == 100_000
 
 
 def test_roc_auc_equals_pair_counting(spark):
