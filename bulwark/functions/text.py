@@ -246,21 +246,32 @@ def preview(c: Column, n: int = 200) -> Column:
     return F.concat(F.substring(c, 1, n), F.lit("..."))
 
 
+# Words of an explanation, and the bounds above or below which they hold.
+UNCERTAINTY = ((1.5, "Very high"), (1.0, "High"))
+UNCERTAINTY_ELSE = "Moderate"
+MARGINS = ((0.1, "nearly equal top-2 class probabilities"), (0.3, "small margin between top predictions"))
+UNCERTAIN, FLIPPED, UNSURE = " uncertainty (entropy=", "attack caused misclassification via ", "low model confidence ("
+NO_ATTACK = "unknown"
+
+
+def _first(cases, otherwise=None) -> Column:
+    """The value of the first condition that holds."""
+    out = F.lit(otherwise)
+    for condition, value in reversed(cases):
+        out = F.when(condition, F.lit(value)).otherwise(out)
+    return out
+
+
 def explain_selection(entropy: Column, margin: Column, method: Column, attack: Column,
                       confidence: Column) -> Column:
     """One sentence on why a sample was selected."""
-    band = F.when(entropy > 1.5, F.lit("Very high")).when(entropy > 1.0, F.lit("High")).otherwise(
-        F.lit("Moderate"))
+    band = _first([(entropy > x, word) for x, word in UNCERTAINTY], UNCERTAINTY_ELSE)
+    flipped = F.concat(F.lit(FLIPPED), F.coalesce(attack, F.lit(NO_ATTACK)))
+    unsure = F.concat(F.lit(UNSURE), F.format_string("%.3f", confidence), F.lit(")"))
     return F.concat_ws(
         "; ",
-        F.concat(band, F.lit(" uncertainty (entropy="), F.format_string("%.3f", entropy), F.lit(")")),
-        F.when(margin < 0.1, F.lit("nearly equal top-2 class probabilities"))
-        .when(margin < 0.3, F.lit("small margin between top predictions")),
-        F.when(
-            F.contains(method, F.lit("misclassification")),
-            F.concat(F.lit("attack caused misclassification via "), F.coalesce(attack, F.lit("unknown"))),
-        ).when(
-            F.contains(method, F.lit("low_confidence")),
-            F.concat(F.lit("low model confidence ("), F.format_string("%.3f", confidence), F.lit(")")),
-        ),
+        F.concat(band, F.lit(UNCERTAIN), F.format_string("%.3f", entropy), F.lit(")")),
+        _first([(margin < x, words_) for x, words_ in MARGINS]),
+        F.when(F.contains(method, F.lit("misclassification")), flipped).when(
+            F.contains(method, F.lit("low_confidence")), unsure),
     )

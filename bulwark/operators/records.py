@@ -11,6 +11,7 @@ from bulwark.functions import text as tx
 from bulwark.operators.skew import text_digest
 from bulwark.session import checkpointed
 
+# Columns of prepared and training records, and flags.
 CORE_COLUMNS = (
     "document", "mention", "full_text", "label_id_str", "label_mapped", "label_id_encoded",
     "word_count", "char_count", "split",
@@ -86,14 +87,24 @@ def word_count_profile(train: DataFrame) -> DataFrame:
     )
 
 
+def squared(wc: Column) -> Column:
+    """Exact squares: sums are the same in any order and don't overflow."""
+    return (wc.cast("long") * wc).cast("decimal(18,0)")
+
+
+def sigma_bounds(n: Column, s1: Column, s2: Column) -> tuple[Column, Column]:
+    """The 3-sigma word count bounds, the lower one at least 3, from a count, a sum and a sum of squares."""
+    mean = s1 / F.nullif(n, F.lit(0))
+    spread = F.coalesce(F.sqrt((s2.cast("double") - s1 * mean) / F.nullif(n - 1, F.lit(0))), F.lit(0.0)) * 3
+    return F.greatest(F.lit(MIN_SHORT), (mean - spread).cast("int")), (mean + spread).cast("int")
+
+
 def sigma_thresholds(train: DataFrame) -> DataFrame:
-    """One row: the 3-sigma word count bounds, the lower one at least 3."""
-    spread = F.coalesce(F.stddev("word_count"), F.lit(0.0)) * 3
-    mean = F.mean("word_count")
-    return train.agg(
-        F.greatest(F.lit(MIN_SHORT), (mean - spread).cast("int")).alias("short_threshold"),
-        (mean + spread).cast("int").alias("long_threshold"),
-    )
+    """One row: the 3-sigma word count bounds of a training split."""
+    wc = F.col("word_count")
+    sums = train.agg(F.count(wc).alias("n"), F.sum(wc.cast("long")).alias("s1"), F.sum(squared(wc)).alias("s2"))
+    short, long = sigma_bounds(F.col("n"), F.col("s1"), F.col("s2"))
+    return sums.select(short.alias("short_threshold"), long.alias("long_threshold"))
 
 
 def threshold_column(df: DataFrame) -> Column:
@@ -240,13 +251,11 @@ def guard_counts(df: DataFrame) -> DataFrame:
     weight = F.when(F.col("split") == "train", F.col("n")).otherwise(0)
     total = F.sum(weight).over(everything)
     s1 = F.sum(weight * F.col("wc")).over(everything)
-    square = (F.col("wc").cast("long") * F.col("wc")).cast("decimal(18,0)")  # exact sums in any order, no overflow
-    s2 = F.sum(weight.cast("decimal(18,0)") * square).over(everything).cast("double")
-    mean = s1 / F.nullif(total, F.lit(0))
-    spread = F.coalesce(F.sqrt((s2 - s1 * mean) / F.nullif(total - 1, F.lit(0))), F.lit(0.0)) * 3
-    known = lengths.withColumns({"_mean": mean, "_spread": spread}).withColumns({
-        "short": F.col("wc") < F.greatest(F.lit(MIN_SHORT), (F.col("_mean") - F.col("_spread")).cast("int")),
-        "long": F.col("wc") > (F.col("_mean") + F.col("_spread")).cast("int"),
+    s2 = F.sum(weight.cast("decimal(18,0)") * squared(F.col("wc"))).over(everything)
+    low, high = sigma_bounds(F.col("_n"), F.col("_s1"), F.col("_s2"))
+    known = lengths.withColumns({"_n": total, "_s1": s1, "_s2": s2}).withColumns({
+        "short": F.col("wc") < low,
+        "long": F.col("wc") > high,
         "tiny": F.col("wc") < TINY_WORDS,
     })
     n, short, tiny = F.col("n"), F.col("short"), F.col("tiny")

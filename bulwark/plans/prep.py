@@ -24,7 +24,9 @@ def label_and_encode(df: DataFrame, top_k: int) -> DataFrame:
 
 def prep(variants: DataFrame, row_id: str, top_k: int = 15, other_rows: int = 600, seed: int = SEED) -> DataFrame:
     """Rich text, reduced and encoded labels; OTHER downsampled in the training split only."""
-    df = label_and_encode(variants.withColumn("full_text", tx.rich_text_strict()), top_k)
+    # Parsed once: labels, sample and output all read these tables.
+    rich = checkpointed(variants.withColumn("full_text", tx.rich_text_strict()))
+    df = checkpointed(label_and_encode(rich, top_k))
     train, rest = _train_and_rest(df)
     out = sel.balance_other(train, row_id, other_rows, seed=seed).unionByName(rest)
     return records.project_available(out, (row_id, *records.TRAINING_COLUMNS, "split"))

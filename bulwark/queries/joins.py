@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from bulwark.operators import joins, records
 from bulwark.operators import selection as sel
 from bulwark.queries import views
+from bulwark.queries.common import rounded
 from bulwark.queries.registry import query
 from bulwark.queries.views import table
 
@@ -70,13 +71,9 @@ _SETS = """
            round(CASE WHEN baseline <> 0 THEN (adversarial - baseline) / abs(baseline) END, 6) AS relative_change"""
 
 
-def _rounded(df, *keep):
-    return df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
-
-
 @query("join_metric_sets", _SETS + " FROM x")
 def join_metric_sets(spark, sf):
-    return _rounded(joins.join_metric_sets(method_metrics(spark, sf, "random"), method_metrics(spark, sf, "entropy")))
+    return rounded(joins.join_metric_sets(method_metrics(spark, sf, "random"), method_metrics(spark, sf, "entropy")))
 
 
 @query("model_comparison", _SETS + """,
@@ -84,7 +81,7 @@ def join_metric_sets(spark, sf):
                       THEN CASE WHEN baseline > 0 THEN (baseline - adversarial) / baseline * 100 ELSE 0 END END, 6)
              AS asr_reduction_percent FROM x""")
 def model_comparison(spark, sf):
-    return _rounded(joins.compare_models(method_metrics(spark, sf, "random"), method_metrics(spark, sf, "entropy")))
+    return rounded(joins.compare_models(method_metrics(spark, sf, "random"), method_metrics(spark, sf, "entropy")))
 
 
 @query("join_label_dim", """

@@ -52,11 +52,11 @@ def technique_extract(spark, sf):
     return views.links(spark, sf).select("page_id", tx.technique_id(F.col("label_link")).alias("technique_id"))
 
 
-LABELS_SQL = r"""
+_FIXED = ", ".join(f"('{t}')" for t in (*tx.TOP_TECHNIQUES, tx.OTHER))
+LABELS_SQL = rf"""
     WITH l AS (SELECT page_id, coalesce(nullif(regexp_extract(label_link, 'techniques/(T\d+)', 1), ''), 'OTHER')
                       AS label_id_str FROM v_links),
-         fixed AS (SELECT unnest(['T1021','T1027','T1036','T1053','T1055','T1059','T1070','T1071','T1082',
-                                  'T1083','T1105','T1112','T1140','T1190','T1547','OTHER']) AS label),
+         fixed(label) AS (VALUES {_FIXED}),
          codes AS (SELECT label, (row_number() OVER (ORDER BY label) - 1)::INTEGER AS code FROM fixed),
          m AS (SELECT page_id, label_id_str,
                       CASE WHEN label_id_str IN (SELECT label FROM fixed) THEN label_id_str ELSE 'OTHER' END
@@ -114,6 +114,7 @@ def negative_sentinel(spark, sf):
     return views.mentions(spark, sf).select("rec_id", tx.negative_to_other(F.col("label_id")).alias("label_id"))
 
 
+# The patterns for links, mail addresses, paths and code, and the marks that replace them.
 CLEAN_SQL = rf"""
     WITH a AS (SELECT id, text AS o,
                       list_filter(regexp_extract_all(text, 'https?://([a-zA-Z0-9.-]+)(?:/[^\s]*)?', 1),

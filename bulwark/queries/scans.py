@@ -7,7 +7,7 @@ from bulwark.operators import metrics, records
 from bulwark.queries import views
 from bulwark.queries.registry import query
 from bulwark.queries.views import table
-from bulwark.session import scratch_path
+from bulwark.session import checkpointed, scratch_path
 from bulwark.sources import records as src
 from bulwark.sources import stores
 
@@ -19,7 +19,7 @@ RICH = (*PLAIN[:5], "context_left", "context_right", *PLAIN[5:])
 def mention_files(spark, sf):
     """The mention records written as the split files a data folder holds."""
     base = scratch_path(spark, "records")
-    m = views.mentions(spark, sf)
+    m = checkpointed(views.mentions(spark, sf))
     for name, split, columns in (
         ("train", "train", PLAIN), ("train_w_con", "train", RICH), ("train_w_con_w_neg", "train", RICH),
         ("dev", "dev", PLAIN), ("dev_w_con", "dev", RICH), ("test", "test", PLAIN),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bulwark.functions.text import negative_to_other
+from bulwark.session import checkpointed
 
 RECORD_COLUMNS = ("document", "mention", "sentence_left", "sentence_right", "context_left", "context_right",
                   "label_link", "label_id", "label", "label_title", "entity_type")
@@ -36,6 +37,13 @@ def scan_jsonl(spark: SparkSession, path: str, split: str, schema: T.StructType
     return spark.read.schema(schema).json(path).withColumn("split", F.lit(split))
 
 
+def malformed_lines(spark: SparkSession, path: str, schema: T.StructType = RECORD_SCHEMA) -> DataFrame:
+    """(line): lines that aren't JSON objects of the schema; scan_jsonl gives nulls for them."""
+    kept = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
+    rows = spark.read.schema(kept).option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
+    return checkpointed(rows.where(F.col("_corrupt_record").isNotNull())).select(F.col("_corrupt_record").alias("line"))
+
+
 def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 

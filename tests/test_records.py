@@ -51,7 +51,7 @@ def test_clean_text_cases(spark):
 def test_email_search_equals_plain_pattern(spark):
     import re
 
-    plain = re.compile(r"\S+@\S+\.\S+")
+    plain = re.compile(r"\S+@\S+\.\S+")  # fixed value: the pattern that the linear one must equal
     texts = ["a@b.c", "@@b.c", "a@b", "a@.c", "a@.cd", "a@b..", "x a@b.c, y", "@a@b.c", "a@b@c.d", "..@..", "a@.", "é@ü.ö z"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r["x"] for r in df.select(F.regexp_replace("t", tx.EMAIL, " [EMAIL] ").alias("x")).collect()]
@@ -62,6 +62,7 @@ def test_file_names_equal_plain_patterns(spark):
     import random
     import re
 
+    # The patterns that the linear ones must equal.
     windows = re.compile(r'[A-Za-z]:\\(?:[^\\/:*?"<>|\r\n]+\\)*([^\\/:*?"<>|\r\n]+)')
     unix = re.compile(r"/(?:[^/\s]+/)*([^/\s]+\.[a-zA-Z]+)")
     rnd = random.Random(11)

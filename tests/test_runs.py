@@ -72,6 +72,11 @@ def test_store_prunes_partitions(spark, sf):
     assert "PartitionFilters: [isnotnull(split" in plan
 
 
+def test_malformed_lines_are_counted(spark, tmp_path):
+    (tmp_path / "x.jsonl").write_text('{"document": "a"}\nnot json\n{"document": \n{"document": "b"}\n', encoding="utf-8")
+    assert sorted(r["line"] for r in src.malformed_lines(spark, str(tmp_path / "x.jsonl")).collect()) == ["not json", '{"document": ']
+
+
 def test_multi_line_report(spark, tmp_path):
     (tmp_path / "r.json").write_text(json.dumps({"a": {"b": 1}}, indent=2), encoding="utf-8")
     assert stores.read_report(spark, str(tmp_path / "r.json"), "a struct<b:int>", True).first()["a"]["b"] == 1
