@@ -21,6 +21,8 @@ from bulwark.llm.words import pieces, utf8
 
 ORDER = 4
 SPACE = 32
+#: What a text's cross-entropy may exceed the worst calibration text's by, in nats, before it is rejected.
+MARGIN = 1.0
 _HASH = np.uint64(0x9E3779B97F4A7C15)
 _tables: list[np.ndarray] = []
 
@@ -316,7 +318,7 @@ def calibrate(model: Model, held: DataFrame) -> None:
     worst = np.maximum.accumulate(worst[::-1])[::-1]
     # A class longer than any calibration text takes the limit of the longest one; all get a margin.
     longest = worst[np.isfinite(worst)].min()
-    model.limits = np.where(np.isfinite(worst), worst, longest) + 0.35
+    model.limits = np.where(np.isfinite(worst), worst, longest) + MARGIN
 
 
 def identify(docs: DataFrame, text_col: str, model: Model) -> DataFrame:
