@@ -39,7 +39,7 @@ def shingle_sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
     for words in cut(column, NONSPACE):
         h = words.hashes
         joined = h.copy()
-        for k in range(1, width):
+        for k in range(1, min(width, len(h))):
             joined[: len(h) - k] = mix(joined[: len(h) - k] * _SECOND + h[k:])
         for i, j in zip(words.word_at[:-1].tolist(), words.word_at[1:].tolist(), strict=True):
             if j - i >= width:

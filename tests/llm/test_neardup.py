@@ -54,6 +54,11 @@ def test_null_ids_repeated_ids_and_rows(spark):
         (0, "q r s t"), (1, "a b c d e f"), (2, ""), (3, "z")]
 
 
+def test_a_batch_with_fewer_words_than_a_shingle(spark):
+    for text in ("x", "x y", "x y z w"):
+        assert neardup.near_duplicates(spark.createDataFrame([(1, text)], ROWS), width=5).first()["n_shingles"] == 1
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], ROWS)
     assert neardup.near_duplicates(empty).count() == 0
