@@ -23,12 +23,6 @@ SHARD_BYTES = 3 << 20
 SAMPLE_EVERY = 16
 # Benchmark words that one search holds; a larger benchmark is searched in several blocks of items.
 BLOCK_WORDS = 1_000_000
-WORD_PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-
-
-def lowered(text: Column) -> Column:
-    """A-Z to a-z and nothing else."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 class Phrases:
@@ -48,7 +42,7 @@ class Phrases:
         self.symbols = np.zeros((len(held), window), np.int64)  # right-aligned
         for i, p in enumerate(held):
             self.symbols[i, window - len(p) :] = np.searchsorted(self.words, np.array(p, np.uint64)) + 1
-        self.items = [sorted(x) for x in held.values()]
+        self.items = [sorted(i for i in x if i is not None) for x in held.values()]
         bits = max(1, min(20, len(self.words).bit_length() + 2))
         self.shift = np.uint64(64 - bits)
         self.starts = np.searchsorted(self.words >> self.shift, np.arange((1 << bits) + 1, dtype=np.uint64))

@@ -112,7 +112,25 @@ def url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
-@query("op4_fm_index_decontamination")
+LOWERED = f"translate(coalesce(text, ''), '{urls.UPPER}', '{urls.LOWER}')"
+
+
+@query("op4_fm_index_decontamination", rf"""
+    WITH d AS (SELECT doc_id, regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+    b AS (SELECT item_id, regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+    win AS MATERIALIZED (SELECT DISTINCT item_id, least(len(ws), 10) AS n, array_to_string(ws[i:i + 9], ' ') AS t
+      FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i FROM b WHERE len(ws) > 0)),
+    hit AS MATERIALIZED (SELECT DISTINCT doc_id, item_id, i, c.n FROM (
+        SELECT doc_id, n, i, array_to_string(ws[i:i + n - 1], ' ') AS t
+        FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM win))) c
+      JOIN win ON win.t = c.t AND win.n = c.n),
+    words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY 1),
+    items AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+                     string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM hit GROUP BY 1)
+    SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+""")
 def fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document hit by windows of benchmark items, and the items."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -177,7 +195,18 @@ def kneser_ney_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
 
 
-@query("op8_temperature_mixing")
+@query("op8_temperature_mixing", r"""
+    WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) + 1 AS k FROM documents),
+    n AS (SELECT source, sum(k) AS n FROM d GROUP BY 1),
+    a AS (SELECT max(n) AS most, round(greatest(0, 1 - ln(2.0) / ln(max(n) / min(n))), 6) AS e FROM n),
+    p AS (SELECT source, n, pow(n / most, e) AS p, most FROM n, a),
+    z AS (SELECT sum(p) AS z, round(any_value(most) * sum(p))::BIGINT AS budget FROM p),
+    w AS (SELECT source, n::BIGINT AS n, p / z AS weight, greatest(n, ceil(p / z * budget - 1e-6))::BIGINT AS want FROM p, z),
+    t AS (SELECT doc_id, source, k, n, weight, want, unnest(range(0, (want + n - 1) // n)) AS epoch FROM d JOIN w USING (source)),
+    o AS (SELECT *, epoch * n + coalesce(sum(k) OVER (PARTITION BY source, epoch ORDER BY md5(concat('mix:', doc_id, ':', epoch))
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begun FROM t)
+    SELECT doc_id, source, epoch::INTEGER AS epoch, (begun * 64 // want)::INTEGER AS block, round(weight, 9) AS weight FROM o WHERE begun < want
+""")
 def temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources mixed as flat as two readings of the smallest source allow: every row taken, its epoch and its block."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -191,7 +220,18 @@ def tag_ratio_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"), "html")
 
 
-@query("op10_bayes_minhash")
+@query("op10_bayes_minhash", rf"""
+    WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({LOWERED}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    s AS MATERIALIZED (SELECT doc_id, hash(x) AS x FROM (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) > 1
+        THEN [ws[i] || ' ' || ws[i + 1] FOR i IN range(1, len(ws))] ELSE ws END) AS x FROM w)),
+    n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+    l AS MATERIALIZED (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+    e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+    r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b)
+    SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, m.c) AS component_id, w.doc_id = least(w.doc_id, m.c) AS kept
+    FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a, min(b) AS c FROM r GROUP BY a) m ON m.a = w.doc_id
+""")
 def bayes_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's component of near copies on two-word shingles."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

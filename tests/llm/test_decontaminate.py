@@ -97,6 +97,9 @@ def test_empty_tables(spark):
     assert d.occurrences(docs.limit(0), items).count() == 0
     assert d.occurrences(docs, items.limit(0)).first()["spans"] == []
     assert d.occurrences(docs, items).first()["items"] == [1]
+    unnamed = spark.createDataFrame([(None, "a b"), (2, "a b")], ITEMS)
+    found = d.occurrences(docs, unnamed).first()
+    assert found["items"] == [2] and len(found["spans"]) == 1
 
 
 def test_registered_query(spark, sf):
