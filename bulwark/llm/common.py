@@ -40,3 +40,9 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     """Drop input columns that the operator is about to add; names match regardless of case."""
     taken = {n.lower() for n in names}
     return df.select(*[df[f"`{c}`"] for c in df.columns if c.lower() not in taken])
+
+
+def plainly_named(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The columns renamed c0, c1, ..., and which is which, so that no name clashes with an operator's."""
+    names = [f"c{i}" for i in range(len(df.columns))]
+    return df.toDF(*names), dict(zip(df.columns, names, strict=True))

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bulwark.llm.common import plainly_named
 from bulwark.llm.words import ALNUM, Words, cut
 
 WINDOW = 10
@@ -321,14 +322,15 @@ def merged(spans: Column) -> Column:
 def remove(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """The rows of docs with every merged span cut out of the text; a row of which no word remains goes.
 
-    Rows without a span are untouched. Defined cases as for `occurrences`.
+    Rows without a span are untouched, and so are all other columns. Defined cases as for `occurrences`.
     """
-    columns = docs.columns
-    held = docs.withColumn("__text", F.col(text_col))
-    found = occurrences(held, benchmark, "__text", window=window)
+    held, name = plainly_named(docs)
+    text = name[text_col]
+    found = occurrences(held.withColumn("__text", F.col(text)), benchmark, "__text", window=window)
     gaps = F.concat(F.array(F.lit(0).cast("bigint")), F.col("spans.end"))
     ends = F.concat(F.col("spans.start"), F.array(F.lit(2**31 - 1).cast("bigint")))
-    kept = F.zip_with(gaps, ends, lambda a, b: F.substring(F.col(text_col), (a + 1).cast("int"), (b - a).cast("int")))
-    clean = F.when(F.size("spans") > 0, F.concat_ws("", kept)).otherwise(F.col(text_col))
-    out = found.where((F.size("spans") == 0) | (F.coalesce(F.expr("aggregate(spans, 0L, (n, x) -> n + x.word_end - x.word)"), F.lit(0)) < F.col("n_words")))
-    return out.withColumn(text_col, clean).select(*[F.col(f"`{c}`") for c in columns])
+    kept = F.zip_with(gaps, ends, lambda a, b: F.substring(F.col(text), (a + 1).cast("int"), (b - a).cast("int")))
+    clean = F.when(F.size("spans") > 0, F.concat_ws("", kept)).otherwise(F.col(text))
+    cut_words = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, x: n + x["word_end"] - x["word"])
+    out = found.where((F.size("spans") == 0) | (cut_words < F.col("n_words"))).withColumn(text, clean)
+    return out.select(*name.values()).toDF(*docs.columns)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bulwark.llm import decontaminate, language, mixing, neardup, sharding
+from bulwark.llm.common import plainly_named
 from bulwark.llm.queries import table, trained_languages
 from bulwark.session import scratch_path
 
@@ -14,8 +15,9 @@ SHARDS = 16
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that some language model explains; null texts and texts without a letter go."""
-    judged = language.identify(docs, "text", trained_languages(docs))
-    return judged.where("not rejected").select(*docs.columns)
+    rows, name = plainly_named(docs)
+    judged = language.identify(rows, name["text"], trained_languages(docs))
+    return judged.where("not rejected").select(*name.values()).toDF(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,13 +28,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of ten words or more that benchmark items hold are cut out; what has no word left goes."""
     clean = decontaminate.remove(docs, table(spark, sf_dir, "benchmark"))
-    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources as flat as two readings of the smallest allow. Every document is taken once at least."""
-    mixed, _ = mixing.mix(docs, F.col("source"), repeats=2.0)
-    return mixed.select(*docs.columns)
+    rows, name = plainly_named(docs)
+    mixed, _ = mixing.mix(rows, F.col(name["source"]), name["doc_id"], name["text"], repeats=2.0)
+    return mixed.select(*name.values()).toDF(*docs.columns)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

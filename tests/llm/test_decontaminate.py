@@ -89,6 +89,7 @@ def test_removal_cuts_spans_only(spark):
     docs = [(1, f"Äh, {phrase.upper()} eleven. End"), (2, phrase), (3, "clean text"), (4, None), (5, f"{phrase} {phrase}, x"), (6, "")]
     out = d.remove(spark.createDataFrame([(*r, 5) for r in docs], DOCS + ", n_words int"), spark.createDataFrame([(1, phrase)], ITEMS))
     assert out.columns == ["doc_id", "text", "n_words"]
+    assert {r["n_words"] for r in out.collect()} == {5}
     assert {r["doc_id"]: r["text"] for r in out.collect()} == {1: "Äh,  eleven. End", 3: "clean text", 4: None, 5: ", x", 6: ""}
 
 

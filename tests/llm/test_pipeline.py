@@ -84,6 +84,16 @@ def test_run_and_registration(spark, corpus):
     assert [sum(n.startswith(f"op{i}_") for n in entry.queries()) for i in range(1, 11)] == [1] * 10
 
 
+def test_extra_columns_with_an_operator_s_names_pass_through(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(60)
+    more = docs.withColumns({c: F.lit(7) for c in ("score", "rejected", "epoch", "block", "weight", "spans", "items", "id", "h", "kept", "__text")})
+    for name, f in cp.STAGES:
+        out = f(spark, more, sf)
+        assert out.columns[: len(more.columns)] == more.columns, name
+        assert out.where("score <> 7 or rejected <> 7 or epoch <> 7 or block <> 7 or weight <> 7 or spans <> 7 or items <> 7 or id <> 7 or h <> 7 or kept <> 7").isEmpty()
+        assert 0 < out.count() <= 120
+
+
 def test_nulls_and_empty_table_pass_every_stage(spark, sf):
     rng = random.Random(1)
     schema = spark.read.parquet(f"{sf}/documents.parquet").schema
