@@ -223,7 +223,7 @@ def test_adaptive_schedule_fold_and_step_agree(spark):
     assert [(r["iteration"], r["budget"], round(r["tau"], 9)) for r in got] == schedule(robust)
     budget, tau, prev = 50, 0.7, 0.0
     for t, x in enumerate(robust, 1):
-        budget, tau = next_settings(budget, tau, x - prev, 0.2, t)
+        budget, tau = next_settings(spark, budget, tau, x - prev, 0.2, t)
         prev = x
         assert (t, budget, round(tau, 9)) == schedule(robust)[t - 1]
 
