@@ -106,16 +106,18 @@ def scan(docs: DataFrame, text_col: str = "text", ordinary_rows: int = 20_000, o
     """Columns of docs but the text, plus `spans`: (start, kind, end) by start, then kind; kind indexes KINDS.
 
     Spans are code points, ends exclusive. The first three kinds follow their patterns; the fourth are tokens whose
-    characters are `odds` times likelier under the random model, after the ratio of tokens in the samples; they never
-    overlap the others. Random samples are all pattern matches of all docs; ordinary ones are the other tokens of 8
-    characters or more in an expected `ordinary_rows` docs, drawn by a digest of the text. Both come down to one count
-    for each pair of characters. Texts are read once and never shuffled.
+    characters are `odds` times likelier under the random model, after the ratio of tokens in all docs; they never
+    overlap the others. Random samples are all pattern matches of all docs; ordinary tokens are the others of 8
+    characters or more. They are counted in all docs, so that the threshold is that of the text and not of the table's
+    size. Pairs are counted once for each distinct text, random ones in all and ordinary ones in about
+    `ordinary_rows` texts, drawn by a digest; both come down to one count for each pair of characters. So repeated
+    rows change no span. Texts are hashed once and searched once, and never shuffled.
     Defined cases: a null text is empty; without random or without ordinary samples only patterns count; an empty
     table gives an empty result; input columns named spans are replaced.
     """
     rows = without(docs, "spans")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    n = rows.count()
+    n = rows.agg(F.approx_count_distinct(F.xxhash64(text))).first()[0]  # repeated rows don't move it
     drawn = F.pmod(F.xxhash64(F.lit(5), text), F.lit(max(1, n))) < ordinary_rows
     kept = [c for c in rows.columns if c.lower() != text_col.lower()]
     found = rows.select(
@@ -124,7 +126,8 @@ def scan(docs: DataFrame, text_col: str = "text", ordinary_rows: int = 20_000, o
         matched(text, ACCESS, lambda m: F.length(m) >= 20).alias("__access"),
         matched(text, HEX, lambda m: F.length(m) >= 24).alias("__hex"),
         matched(text, TOKEN, lambda m: F.lit(True)).alias("__tokens"),
-        F.when(drawn, F.regexp_extract_all(text, F.lit(ORDINARY), F.lit(0))).alias("__ordinary"),
+        F.regexp_extract_all(text, F.lit(ORDINARY), F.lit(0)).alias("__ordinary"), drawn.alias("__drawn"),
+        F.xxhash64(text).alias("__text"),
     )
     patterns = ["__assign", "__access", "__hex"]
     base = F.concat(*[as_spans(F.col(c), k) for k, c in enumerate(patterns)])
@@ -134,19 +137,22 @@ def scan(docs: DataFrame, text_col: str = "text", ordinary_rows: int = 20_000, o
     held = checkpointed(
         found.withColumns({"__base": F.array_sort(base), "__random": values})
         .withColumns({"__free": free, "__ordinary": plain})
-        .select(*[F.col(f"`{c}`") for c in kept], "__base", "__random", "__free", "__ordinary")
+        .withColumns({"__n_ordinary": F.size("__ordinary"), "__ordinary": F.when(F.col("__drawn"), F.col("__ordinary"))})
+        .select(*[F.col(f"`{c}`") for c in kept], "__base", "__random", "__free", "__ordinary", "__n_ordinary", "__text")
     )
-    samples = held.select(F.explode(F.array(F.struct(F.lit(True).alias("random"), F.col("__random").alias("t")), F.struct(F.lit(False).alias("random"), F.col("__ordinary").alias("t")))).alias("s"))
+    texts = held.where((F.size("__random") > 0) | (F.size("__ordinary") > 0)).select("__text", "__random", "__ordinary").dropDuplicates(["__text"])
+    samples = texts.select(F.explode(F.array(F.struct(F.lit(True).alias("random"), F.col("__random").alias("t")), F.struct(F.lit(False).alias("random"), F.col("__ordinary").alias("t")))).alias("s"))
     samples = samples.select("s.random", F.explode("s.t").alias("token"))
-    totals = {r["random"]: r["n"] for r in samples.groupBy("random").agg(F.count("*").alias("n")).collect()}
-    if len(totals) < 2:
+    total = held.agg(F.sum(F.size("__random")).alias("random"), F.sum("__n_ordinary").alias("ordinary")).first()
+    drawn_any = held.where(F.size("__ordinary") > 0).limit(1).count() if total["random"] and total["ordinary"] else 0
+    if not drawn_any:
         extra = F.array().cast(f"array<{_SPAN}>")
     else:
         counts: dict[bool, dict[int, int]] = {True: {}, False: {}}
         for r in samples.select("random", F.explode(pairs(F.col("token"))).alias("p")).groupBy("random", "p").agg(F.count("*").alias("n")).collect():
             counts[r["random"]][r["p"]] = r["n"]
         table = doubles(ratios(counts))
-        least = max(0.0, math.log(totals[False] / totals[True])) + math.log(odds)
+        least = max(0.0, math.log(total["ordinary"] / total["random"])) + math.log(odds)
         score = lambda t: F.aggregate(pairs(t["match"]), F.lit(0.0), lambda s, p: s + F.get(table, p))
         extra = as_spans(F.filter("__free", lambda t: score(t) > least), 3)
     return held.withColumn("spans", F.array_sort(F.concat("__base", extra))).select(*[F.col(f"`{c}`") for c in kept], "spans")
