@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,21 +31,47 @@ MARKED = frozenset(
     "sidebar widget header masthead footer comment comments disqus respond reply replies share sharing social related "
     "recommended login search".split()
 )
+#: Of these, words for adverts and readers' comments: they mean the same on every tag and however much text they have.
+SURE = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored comment comments disqus respond reply replies".split())
+#: A name that begins so says how a wrapper is laid out, not what it is.
+LAYOUT = frozenset("no has with without".split())
+#: Text that no mark on its own element may take away.
+TEXTUAL = frozenset("h1 h2 h3 h4 h5 h6 p".split())
 CONTENT = frozenset("article main".split())
 #: Sections that reopen content inside a page header of their own.
 SECTIONS = frozenset("article main section div body td".split())
 
 SIGMA = 2.0
+#: What a line's ratio counts for in an element that has a marked word as part of a longer name only.
+LOWERED = 0.1
 FEED = 1 << 16
 
 
+class Line(NamedTuple):
+    text: str
+    tags: int
+    container: int
+    inside: bool  # an article or main
+    marks: tuple[int, ...]  # places in Lines.marks
+
+
+class Mark:
+    """An element with a marked class or id. Whether the mark holds is known at the page's end."""
+
+    def __init__(self, weight: float, sure: bool, inside: bool):
+        self.weight, self.sure, self.inside = weight, sure, inside  # weight 0: left out
+        self.holds_content = False
+        self.chars = 0
+
+
 class Lines(HTMLParser):
-    """Lines of a page: (text, tags, container, in an article or main)."""
+    """Lines of a page."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, int]] = []  # tag, left out from here on, container
-        self.lines: list[tuple[str, int, int, bool]] = []
+        self.open: list[tuple[str, bool, int, tuple[int, ...]]] = []  # tag, left out from here on, container, marks
+        self.lines: list[Line] = []
+        self.marks: list[Mark] = []
         self.parts: list[str] = []
         self.tags = 0
         self.containers = 0
@@ -52,12 +79,14 @@ class Lines(HTMLParser):
     def left_out(self) -> bool:
         return bool(self.open) and self.open[-1][1]
 
+    def inside(self) -> bool:
+        return any(x[0] in CONTENT for x in self.open)
+
     def end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            container = self.open[-1][2] if self.open else 0
-            inside = any(t in CONTENT for t, _, _ in self.open)
-            self.lines.append((text, self.tags, container, inside))
+            _, _, container, marks = self.open[-1] if self.open else ("", False, 0, ())
+            self.lines.append(Line(text, self.tags, container, self.inside(), marks))
         self.parts, self.tags = [], 0
 
     def handle_starttag(self, tag, attrs):
@@ -71,11 +100,21 @@ class Lines(HTMLParser):
         # HTML lets these stay open: a new one ends the last.
         if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):
             self.close_open(tag)
-        container = self.open[-1][2] if self.open else 0
+        _, out, container, marks = self.open[-1] if self.open else ("", False, 0, ())
         if tag in SECTIONS or tag in CHROME:
             self.containers += 1
             container = self.containers
-        self.open.append((tag, self.left_out() or self.is_chrome(tag, attrs), container))
+        out = out or self.is_chrome(tag, attrs)
+        if not out and tag in CONTENT:
+            for m in marks:
+                self.marks[m].holds_content = True
+        mark = None if out else self.mark(tag, attrs)
+        if mark is not None and tag in INLINE:  # no line of its own
+            out = mark.weight == 0
+        elif mark is not None:
+            marks = (*marks, len(self.marks))
+            self.marks.append(mark)
+        self.open.append((tag, out, container, marks))
 
     def close_open(self, tag: str) -> None:
         """Close an open tag of this kind if nothing but inline tags and paragraphs stands inside it."""
@@ -88,7 +127,7 @@ class Lines(HTMLParser):
 
     def is_chrome(self, tag: str, attrs) -> bool:
         if tag in HIDDEN or tag in CHROME:
-            return not (tag == "header" and any(t in CONTENT for t, _, _ in self.open))
+            return not (tag == "header" and self.inside())
         if tag in ("html", "body") or tag in CONTENT:
             return False
         for name, value in attrs:
@@ -97,10 +136,32 @@ class Lines(HTMLParser):
                 return True
             if name == "style" and "display:none" in value.replace(" ", ""):
                 return True
-            if name in ("class", "id") and not MARKED.isdisjoint(value.replace("-", " ").replace("_", " ").split()):
-                return True
         return False
 
+    def mark(self, tag: str, attrs) -> Mark | None:
+        """A mark leaves out where marked words are a whole class or id, and lowers where they are part of one.
+
+        Headings and paragraphs bear none. An id in an article, or on a section, is an anchor and may name a topic.
+        """
+        if tag in ("html", "body") or tag in CONTENT or tag in TEXTUAL:
+            return None
+        inside, weight, sure = self.inside(), 1.0, False
+        for name, value in attrs:
+            if name not in ("class", "id"):
+                continue
+            for one in (value or "").lower().split():
+                words = one.replace("_", "-").strip("-").split("-")
+                if words[0] in LAYOUT or MARKED.isdisjoint(words):
+                    continue
+                whole = MARKED.issuperset(words)
+                if whole and not SURE.isdisjoint(words):
+                    weight, sure = 0.0, True
+                elif name == "id" and tag == "section":
+                    continue
+                else:
+                    weight = min(weight, 0.0 if whole and not (name == "id" and inside) else LOWERED)
+        return Mark(weight, sure, inside) if weight < 1 else None
+
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID:
@@ -123,6 +184,20 @@ class Lines(HTMLParser):
     def finish(self) -> None:
         self.close()
         self.end_line()
+        for line in self.lines:
+            for m in line.marks:
+                self.marks[m].chars += len(line.text)
+
+    def weights(self) -> list[float]:
+        """What each line's ratio counts for; 0: left out.
+
+        A mark is void if its element holds an article or main, or most of the page's text; the latter doesn't hold
+        for adverts and comments, nor beside an article.
+        """
+        total = sum(len(x.text) for x in self.lines)
+        has_content = any(x.inside for x in self.lines)
+        void = [m.holds_content or not m.sure and 2 * m.chars > total and (m.inside or not has_content) for m in self.marks]
+        return [min((self.marks[m].weight for m in x.marks if not void[m]), default=1.0) for x in self.lines]
 
 
 def smoothed(values: list[float], sigma: float) -> list[float]:
@@ -143,26 +218,26 @@ def main_text(html: str | None, sigma: float = SIGMA) -> str:
     for i in range(0, len(html or ""), FEED):
         page.feed(html[i : i + FEED])
     page.finish()
-    lines = page.lines
-    if any(x[3] for x in lines):  # the page itself says where its article is
-        lines = [x for x in lines if x[3]]
-    if not lines:
+    weighed = [(x, w) for x, w in zip(page.lines, page.weights(), strict=True) if w]
+    if any(x.inside for x, _ in weighed):  # the page itself says where its article is
+        weighed = [(x, w) for x, w in weighed if x.inside]
+    if not weighed:
         return ""
+    lines = [x for x, _ in weighed]
     ratio = [0.0] * len(lines)
     runs: dict[int, list[int]] = {}
     for i, line in enumerate(lines):
-        runs.setdefault(line[2], []).append(i)
+        runs.setdefault(line.container, []).append(i)
     for run in runs.values():  # a container's lines lend nothing to their neighbours outside
-        for i, r in zip(run, smoothed([len(lines[i][0]) / (lines[i][1] + 1) for i in run], sigma), strict=True):
+        for i, r in zip(run, smoothed([len(lines[i].text) / (lines[i].tags + 1) * weighed[i][1] for i in run], sigma), strict=True):
             ratio[i] = r
     mean = sum(ratio) / len(ratio)
     least = math.sqrt(sum((r - mean) ** 2 for r in ratio) / len(ratio))
     # A region is a container's lines; short lines of a region that holds content are content.
     best: dict[int, float] = {}
-    for r, (_, _, container, _) in zip(ratio, lines, strict=True):
-        best[container] = max(best.get(container, 0.0), r)
-    kept = [text for text, _, container, inside in lines if inside or best[container] >= least]
-    return "\n\n".join(kept)
+    for r, line in zip(ratio, lines, strict=True):
+        best[line.container] = max(best.get(line.container, 0.0), r)
+    return "\n\n".join(x.text for x in lines if x.inside or best[x.container] >= least)
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
