@@ -2,8 +2,8 @@
 
 The standard library's parser streams events. Block tags end a line. A line has its text, the tags inside it, and
 the container it stands in; text inside menus, headers, footers, sidebars, notices, adverts, forms, scripts and
-reader comments counts for nothing. Text-to-tag ratios are smoothed along each container's lines, and containers whose
-smoothed ratio reaches the page's standard deviation are content regions.
+reader comments counts for nothing. Text-to-tag ratios are smoothed along the lines between such parts, and stretches
+whose smoothed ratio reaches the page's standard deviation are content regions.
 """
 
 from __future__ import annotations
@@ -44,6 +44,10 @@ SECTIONS = frozenset("article main section div body td".split())
 SIGMA = 2.0
 #: What a line's ratio counts for in an element that has a marked word as part of a longer name only.
 LOWERED = 0.1
+#: A line of this ratio is full text; longer ones must not raise the threshold above it.
+FULL = 100.0
+#: So many lines in a row that are mostly links are a list of links.
+LINKS = 3
 FEED = 1 << 16
 
 
@@ -52,6 +56,9 @@ class Line(NamedTuple):
     tags: int
     container: int
     inside: bool  # an article or main
+    region: int  # rises at each part that is left out
+    links: int
+    linked: float  # share of the characters that stand in links
     marks: tuple[int, ...]  # places in Lines.marks
 
 
@@ -75,6 +82,8 @@ class Lines(HTMLParser):
         self.parts: list[str] = []
         self.tags = 0
         self.containers = 0
+        self.regions = 0
+        self.links, self.linked = 0, 0
 
     def left_out(self) -> bool:
         return bool(self.open) and self.open[-1][1]
@@ -86,13 +95,16 @@ class Lines(HTMLParser):
         text = " ".join("".join(self.parts).split())
         if text:
             _, _, container, marks = self.open[-1] if self.open else ("", False, 0, ())
-            self.lines.append(Line(text, self.tags, container, self.inside(), marks))
+            linked = self.linked / (len(text) - text.count(" "))
+            self.lines.append(Line(text, self.tags, container, self.inside(), self.regions, self.links, linked, marks))
         self.parts, self.tags = [], 0
+        self.links, self.linked = 0, 0
 
     def handle_starttag(self, tag, attrs):
         if tag not in INLINE and tag not in HIDDEN:
             self.end_line()
         self.tags += 1
+        self.links += tag == "a"
         if tag == "br":
             self.parts.append(" ")
         if tag in VOID:
@@ -104,7 +116,9 @@ class Lines(HTMLParser):
         if tag in SECTIONS or tag in CHROME:
             self.containers += 1
             container = self.containers
-        out = out or self.is_chrome(tag, attrs)
+        if not out and self.is_chrome(tag, attrs):
+            out = True
+            self.regions += tag not in HIDDEN and tag not in INLINE
         if not out and tag in CONTENT:
             for m in marks:
                 self.marks[m].holds_content = True
@@ -180,6 +194,8 @@ class Lines(HTMLParser):
     def handle_data(self, data):
         if not self.left_out():
             self.parts.append(data)
+            if self.links and any(x[0] == "a" for x in self.open):
+                self.linked += sum(map(len, data.split()))
 
     def finish(self) -> None:
         self.close()
@@ -218,26 +234,60 @@ def main_text(html: str | None, sigma: float = SIGMA) -> str:
     for i in range(0, len(html or ""), FEED):
         page.feed(html[i : i + FEED])
     page.finish()
-    weighed = [(x, w) for x, w in zip(page.lines, page.weights(), strict=True) if w]
-    if any(x.inside for x, _ in weighed):  # the page itself says where its article is
-        weighed = [(x, w) for x, w in weighed if x.inside]
-    if not weighed:
-        return ""
-    lines = [x for x, _ in weighed]
-    ratio = [0.0] * len(lines)
-    runs: dict[int, list[int]] = {}
-    for i, line in enumerate(lines):
-        runs.setdefault(line.container, []).append(i)
-    for run in runs.values():  # a container's lines lend nothing to their neighbours outside
-        for i, r in zip(run, smoothed([len(lines[i].text) / (lines[i].tags + 1) * weighed[i][1] for i in run], sigma), strict=True):
-            ratio[i] = r
-    mean = sum(ratio) / len(ratio)
-    least = math.sqrt(sum((r - mean) ** 2 for r in ratio) / len(ratio))
-    # A region is a container's lines; short lines of a region that holds content are content.
-    best: dict[int, float] = {}
-    for r, line in zip(ratio, lines, strict=True):
-        best[line.container] = max(best.get(line.container, 0.0), r)
-    return "\n\n".join(x.text for x in lines if x.inside or best[x.container] >= least)
+    lines, weights = page.lines, page.weights()
+    if any(x.inside and w for x, w in zip(lines, weights, strict=True)):  # the page itself says where its article is
+        weights = [w if x.inside else 0.0 for x, w in zip(lines, weights, strict=True)]
+    return "\n\n".join(lines[i].text for i in content(lines, weights, sigma))
+
+
+def runs(lines: list[Line], weights: list[float]) -> list[list[int]]:
+    """Places of lines that follow each other without a part between them that is left out; lists of links apart."""
+    stretches: list[tuple[bool, list[int]]] = []
+    before = None
+    for i, (line, weight) in enumerate(zip(lines, weights, strict=True)):
+        if not weight:
+            before = None
+            continue
+        key = (line.region, line.linked > 0.5)
+        if key != before:
+            stretches.append((line.linked > 0.5, []))
+        stretches[-1][1].append(i)
+        before = key
+    sizes: dict[int, int] = {}
+    for line, weight in zip(lines, weights, strict=True):
+        sizes[line.container] = sizes.get(line.container, 0) + (weight > 0)
+    out: list[list[int]] = []
+    joins = False  # the last run may go on
+    for linked, places in stretches:
+        whole = len(places) >= sum(sizes[c] for c in {lines[i].container for i in places})
+        apart = linked and (len(places) >= LINKS or whole and sum(lines[i].links for i in places) > 1)
+        if joins and not apart and lines[out[-1][-1]].region == lines[places[0]].region and all(weights[out[-1][-1] : places[0]]):
+            out[-1] += places
+        else:
+            out.append(places)
+        joins = not apart
+    return out
+
+
+def content(lines: list[Line], weights: list[float], sigma: float = SIGMA) -> list[int]:
+    """Places of the content lines.
+
+    Ratios are smoothed along each run, across its containers. Content are lines that reach the page's standard
+    deviation, those between two such lines of a run, and the others of their containers there.
+    """
+    parts = [(run, smoothed([min(FULL, len(lines[i].text) / (lines[i].tags + 1)) * weights[i] for i in run], sigma)) for run in runs(lines, weights)]
+    every = [r for _, ratio in parts for r in ratio]
+    if not every:
+        return []
+    mean = sum(every) / len(every)
+    least = math.sqrt(sum((r - mean) ** 2 for r in every) / len(every))
+    kept = []
+    for run, ratio in parts:
+        high = [k for k, r in enumerate(ratio) if r >= least]
+        if high:
+            found = {lines[run[k]].container for k in high}
+            kept += [i for k, i in enumerate(run) if high[0] <= k <= high[-1] or lines[i].container in found]
+    return kept
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:

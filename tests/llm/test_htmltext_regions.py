@@ -25,3 +25,16 @@ def test_marks_that_are_the_whole_name_still_leave_out(mark):
     for page in (f"<article><p>{LONG}</p><div {mark}><p>{LONG[:90]}</p></div></article>", f"<div><p>{LONG}</p></div><div {mark}><p>{LONG[:90]}</p></div>"):
         assert main_text(page) == LONG
     assert main_text(f"<div class=ad>{LONG} {LONG}</div><article>x</article>") == "x"
+
+
+def paragraph(n):
+    return ("word " * n)[: n - 1] + "."
+
+
+@pytest.mark.parametrize("sizes", [[400, 350, 60, 420, 45, 380], [400, 350, 380, 60], [60, 400, 350], [400, 20_000, 400, *[380] * 20], [300, *[40] * 15, 300, 300]])
+def test_one_container_for_each_paragraph(sizes):
+    texts = [paragraph(n) for n in sizes]
+    body = "".join(f"<div><p>{t}</p></div>" for t in texts)
+    links = "".join(f"<li><a href=/{i}>item {i}</a></li>" for i in range(6))
+    assert main_text(f"<nav>menu</nav>{body}<div><ul>{links}</ul></div><div><a>x</a> <a>y</a></div>") == "\n\n".join(texts)
+    assert main_text(f"<div><ul>{links}</ul></div>{body}<footer>f</footer><div>tail</div>") == "\n\n".join(texts)
