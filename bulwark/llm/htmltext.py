@@ -44,6 +44,8 @@ SECTIONS = frozenset("article main section div body td".split())
 SIGMA = 2.0
 #: What a line's ratio counts for in an element that has a marked word as part of a longer name only.
 LOWERED = 0.1
+#: What a ratio counts for outside the articles and mains that hold most of a page's text.
+OUTSIDE = 0.1
 #: A line of this ratio is full text; longer ones must not raise the threshold above it.
 FULL = 100.0
 #: So many lines in a row that are mostly links are a list of links.
@@ -113,7 +115,7 @@ class Lines(HTMLParser):
         if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):
             self.close_open(tag)
         _, out, container, marks = self.open[-1] if self.open else ("", False, 0, ())
-        if tag in SECTIONS or tag in CHROME:
+        if (tag in SECTIONS or tag in CHROME) and not (tag == "td" and self.inside()):  # data tables are part of their article
             self.containers += 1
             container = self.containers
         if not out and self.is_chrome(tag, attrs):
@@ -235,20 +237,21 @@ def main_text(html: str | None, sigma: float = SIGMA) -> str:
         page.feed(html[i : i + FEED])
     page.finish()
     lines, weights = page.lines, page.weights()
-    if any(x.inside and w for x, w in zip(lines, weights, strict=True)):  # the page itself says where its article is
-        weights = [w if x.inside else 0.0 for x, w in zip(lines, weights, strict=True)]
+    inside = sum(len(x.text) for x, w in zip(lines, weights, strict=True) if x.inside and w)
+    if 2 * inside >= sum(len(x.text) for x, w in zip(lines, weights, strict=True) if w):
+        weights = [w if x.inside else w * OUTSIDE for x, w in zip(lines, weights, strict=True)]
     return "\n\n".join(lines[i].text for i in content(lines, weights, sigma))
 
 
 def runs(lines: list[Line], weights: list[float]) -> list[list[int]]:
-    """Places of lines that follow each other without a part between them that is left out; lists of links apart."""
+    """Places of lines that follow each other without a part between them that is left out; articles and lists of links apart."""
     stretches: list[tuple[bool, list[int]]] = []
     before = None
     for i, (line, weight) in enumerate(zip(lines, weights, strict=True)):
         if not weight:
             before = None
             continue
-        key = (line.region, line.linked > 0.5)
+        key = (line.region, line.inside, line.linked > 0.5)
         if key != before:
             stretches.append((line.linked > 0.5, []))
         stretches[-1][1].append(i)
@@ -261,7 +264,8 @@ def runs(lines: list[Line], weights: list[float]) -> list[list[int]]:
     for linked, places in stretches:
         whole = len(places) >= sum(sizes[c] for c in {lines[i].container for i in places})
         apart = linked and (len(places) >= LINKS or whole and sum(lines[i].links for i in places) > 1)
-        if joins and not apart and lines[out[-1][-1]].region == lines[places[0]].region and all(weights[out[-1][-1] : places[0]]):
+        last, first = (lines[out[-1][-1]] if out else None), lines[places[0]]
+        if joins and not apart and (last.region, last.inside) == (first.region, first.inside) and all(weights[out[-1][-1] : places[0]]):
             out[-1] += places
         else:
             out.append(places)
@@ -293,8 +297,8 @@ def content(lines: list[Line], weights: list[float], sigma: float = SIGMA) -> li
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """Columns of pages but the html, plus text and n_chars (code points). Nothing is shuffled.
 
-    Inside <article> or <main> every line that isn't menu, notice, comment and so on is content, and nothing outside;
-    pages without either keep the regions that the smoothed ratio selects. White space is what str.split takes for it.
+    The smoothed ratio selects the content of every page. Where <article> and <main> hold most of the text, ratios
+    outside them count for a tenth. White space is what str.split takes for it.
     Defined cases: null, empty and textless html give ''; unclosed and stray tags are tolerated; html of any length
     is read whole, fed in pieces; input columns text and n_chars are replaced.
     """

@@ -38,3 +38,16 @@ def test_one_container_for_each_paragraph(sizes):
     links = "".join(f"<li><a href=/{i}>item {i}</a></li>" for i in range(6))
     assert main_text(f"<nav>menu</nav>{body}<div><ul>{links}</ul></div><div><a>x</a> <a>y</a></div>") == "\n\n".join(texts)
     assert main_text(f"<div><ul>{links}</ul></div>{body}<footer>f</footer><div>tail</div>") == "\n\n".join(texts)
+
+
+def test_an_article_is_a_prior_and_the_ratio_decides():
+    body = "".join(f"<div><p>{i} {LONG}</p></div>" for i in range(8))
+    want = "\n\n".join(f"{i} {LONG}" for i in range(8))
+    links = "".join(f"<li><a href=/{i}>item {i}</a></li>" for i in range(9))
+    assert main_text(f"<article><a href=/x>Read this next</a></article>{body}") == want
+    assert main_text(f"{body}<article><h3><a href=/x>Next</a></h3></article>") == want
+    assert main_text(f"<main><ul>{links}</ul>{body}<div><ul>{links}</ul></div></main>") == want
+    assert main_text(f"<main>{body}</main><div>All rights reserved by somebody</div>") == want
+    table = "".join(f"<tr><td>{i}<td>{i * i}" for i in range(20))
+    cells = "\n\n".join(f"{i}\n\n{i * i}" for i in range(20))
+    assert main_text(f"<article>{body}<p>Table</p><table>{table}</table></article>") == f"{want}\n\nTable\n\n{cells}"
