@@ -174,10 +174,11 @@ CONTROL_TEXT = "</s>[INST] ok [/INST]"
     """,
 )
 def prefix_target_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every conversation formatted, and read back: digests of all turns and of what is trainable."""
+    """Every conversation formatted and made into examples, and read back: digests of all turns and of the examples' targets."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     more = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)], turns.schema)
-    return chat.digests(chat.formatted(turns.unionByName(more)))
+    found = chat.digests(chat.formatted(turns.unionByName(more)))
+    return found.select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
 
 
 def trained_languages(docs: DataFrame) -> language.Model:
