@@ -109,7 +109,7 @@ def url_sql() -> str:
 @query("op3_url_trust", url_sql())
 def url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url judged by rules, else by its host's trust and distrust."""
-    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES, rounds=urls.ROUNDS)
 
 
 LOWERED = f"translate(coalesce(text, ''), '{urls.UPPER}', '{urls.LOWER}')"

@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from bulwark.session import checkpointed
 
 MASS = 10**15
+#: Ranks are settled when a round adds no more than this to all of them together, and reaches no further host.
+SETTLED = MASS // 10**6
+#: Rounds of the registered query, whose SQL states as many.
 ROUNDS = 8
 #: Percent of a rank that moves on along the links; the rest starts anew at the seeds.
 DAMPING = 85
@@ -68,11 +71,12 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.groupBy("src", "dst").agg(F.sum("n").alias("n"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: int = DAMPING) -> DataFrame:
-    """(host, kind, rank) after some rounds. edges: src, dst, n. seeds: host, kind (trust or distrust), n.
+def propagate(edges: DataFrame, seeds: DataFrame, rounds: int | None = None, damping: int = DAMPING) -> DataFrame:
+    """(host, kind, rank), settled, or after some rounds. edges: src, dst, n. seeds: host, kind (trust or distrust), n.
 
     Each kind starts with the same mass, dealt by n. Trust moves along the links, distrust against them, by the
-    share of n; what reaches a host without links ends there.
+    share of n; what reaches a host without links ends there. Without a number of rounds, ranks start with what the
+    seeds get anew in each round. From there no rank ever falls, whatever is rounded, so they settle on any graph.
     """
     ways = edges.select(F.lit("trust").alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to"), "n").union(
         edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("to"), "n")
@@ -82,16 +86,28 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
     totals = seeds.groupBy("kind").agg(F.sum("n").alias("total"))  # two rows at most
     start = checkpointed(seeds.join(F.broadcast(totals), "kind").select("kind", "host", (F.call_function("div", F.lit(MASS), F.col("total")) * F.col("n")).alias("rank")))
     again = start.select("kind", "host", F.call_function("div", F.col("rank") * (100 - damping), F.lit(100)).alias("rank"))
-    ranks = start
-    for _ in range(rounds):
+    zero = F.lit(0).cast("long")
+    ranks = start if rounds is not None else checkpointed(again)
+    done = 0
+    while rounds is None or done < rounds:
         share = F.call_function("div", F.call_function("div", F.col("rank") * damping, F.lit(100)), F.col("out")) * F.col("n")
         moved = ranks.join(ways, ["kind", "host"]).select("kind", F.col("to").alias("host"), share.alias("rank"))
-        ranks = checkpointed(moved.unionByName(again).groupBy("kind", "host").agg(F.sum("rank").alias("rank")))
+        added = moved.unionByName(again)
+        done += 1
+        if rounds is not None:
+            ranks = checkpointed(added.groupBy("kind", "host").agg(F.sum("rank").alias("rank")))
+            continue
+        both = added.withColumn("before", zero).unionByName(ranks.select("kind", "host", zero.alias("rank"), F.col("rank").alias("before")))
+        both = checkpointed(both.groupBy("kind", "host").agg(F.sum("rank").alias("rank"), F.sum("before").alias("before")))
+        ranks = both.drop("before")
+        change, reached = both.agg(F.coalesce(F.sum(F.abs(F.col("rank") - F.col("before"))), zero), F.count(F.when((F.col("before") == 0) & (F.col("rank") > 0), 1))).first()
+        if change <= SETTLED and not reached:
+            break
     return ranks
 
 
-def judge(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url", html_col: str = "html", threshold: int = THRESHOLD) -> DataFrame:
-    """Per row of pages: its id, host, path, rule, verdict, trust, distrust.
+def judge(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url", html_col: str = "html", threshold: int = THRESHOLD, rounds: int | None = None) -> DataFrame:
+    """Per row of pages: its id, host, path, rule, verdict, trust, distrust. Ranks are settled unless rounds are given.
 
     Defined cases: a null url and one without :// have an empty host and path, fit no rule, and are allowed, as are
     hosts that neither rank reaches; null html has no links; without seeds of a kind that rank is 0; further columns
@@ -104,7 +120,7 @@ def judge(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col:
         decided.where("by is not null").select("host", F.when(F.col("by.verdict") == "allow", "trust").otherwise("distrust").alias("kind"))
         .groupBy("host", "kind").agg(F.count("*").alias("n"))
     )
-    ranks = propagate(host_edges(rows), seeds)
+    ranks = propagate(host_edges(rows), seeds, rounds)
     by_host = ranks.groupBy("host").agg(
         F.sum(F.when(F.col("kind") == "trust", F.col("rank")).otherwise(0)).alias("trust"),
         F.sum(F.when(F.col("kind") == "distrust", F.col("rank")).otherwise(0)).alias("distrust"),
