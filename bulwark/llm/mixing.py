@@ -44,6 +44,17 @@ def order_key(id_: Column, epoch: Column) -> Column:
     return F.md5(F.concat_ws(":", F.lit(SEED), F.coalesce(id_.cast("string"), F.lit("")), epoch.cast("string")))
 
 
+def bisected(fits, steps: int = STEPS) -> float:
+    """The smallest exponent between 0 and 1 that fits, if all above it fit and 1 does."""
+    low, high = 0.0, 1.0
+    if fits(low):
+        return low
+    for _ in range(steps):
+        middle = (low + high) / 2
+        low, high = (low, middle) if fits(middle) else (middle, high)
+    return high
+
+
 def fit_exponent(totals: DataFrame, entropy: float | None, repeats: float | None) -> Plan:
     """totals: tokens n of each source. Both targets hold if both are given; neither: shares stay as found.
 
@@ -61,7 +72,7 @@ def fit_exponent(totals: DataFrame, entropy: float | None, repeats: float | None
     # The largest source has the smallest ratio of tokens to weight, so it is read once and source i
     # (most / n_i)^(1 - a) times; the smallest source decides.
     if repeats is not None and most > least:
-        low = max(0.0, 1.0 - math.log(max(1.0, repeats)) / math.log(most / least))
+        low = bisected(lambda a: (most / least) ** (1.0 - a) <= max(1.0, repeats))
     if entropy is None:
         exponent = low
     else:
