@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bulwark.llm import chat, decontaminate, htmltext, language, mixing, neardup, secrets, sharding, topk, urls
+from bulwark.llm import chat, contentsort, decontaminate, htmltext, language, mixing, neardup, secrets, sharding, topk, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -237,3 +237,12 @@ def bayes_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's component of near copies on two-word shingles."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return neardup.near_duplicates(docs, width=2, percent=80)
+
+
+@query("op13_content_sort", """
+    SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, sha256(t) AS text_sha256
+    FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents) WINDOW g AS (PARTITION BY t)
+""")
+def content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's group of equal texts; the largest id of each stays."""
+    return contentsort.exact_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
