@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bulwark.llm import chat, contentsort, decontaminate, htmltext, language, mixing, neardup, secrets, sharding, topk, urls
+from bulwark.llm import chat, contentsort, decontaminate, htmltext, language, lexical, mixing, neardup, secrets, sharding, topk, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -239,6 +239,23 @@ def bayes_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(docs, width=2, percent=80)
 
 
+@query("op12_nra_search", rf"""
+    WITH t AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWERED}, '{lexical.TERM}') AS ws FROM documents),
+    d AS (SELECT r, doc_id, len(ws)::BIGINT AS n FROM t),
+    z AS MATERIALIZED (SELECT count(*) FILTER (n > 0) AS docs, sum(n)::BIGINT AS words FROM d),
+    i AS MATERIALIZED (SELECT DISTINCT item_id, unnest(regexp_extract_all({LOWERED}, '{lexical.TERM}')) AS term FROM benchmark),
+    f AS MATERIALIZED (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ws) AS term FROM t) SEMI JOIN i USING (term) GROUP BY ALL),
+    w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM f, z GROUP BY term, docs),
+    p AS (SELECT r, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * docs) // words)))) AS impact FROM f JOIN d USING (r) JOIN w USING (term), z),
+    s AS (SELECT item_id, r, CAST(sum(impact) AS BIGINT) AS score FROM i JOIN p USING (term) GROUP BY ALL HAVING sum(impact) > 0),
+    o AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM s JOIN d USING (r) WHERE doc_id IS NOT NULL)
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM o WHERE rank <= 10
+""")
+def nra_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 @query("op13_content_sort", """
     SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, sha256(t) AS text_sha256
     FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents) WINDOW g AS (PARTITION BY t)
