@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bulwark.llm import chat, contentsort, decontaminate, htmltext, language, lexical, mixing, neardup, secrets, sharding, topk, urls
+from bulwark.llm import chat, contentsort, decontaminate, htmltext, language, lexical, mixing, neardup, secrets, sharding, topk, urls, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -239,6 +239,12 @@ def bayes_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(docs, width=2, percent=80)
 
 
+@query("op11_characteristic_whitening")
+def characteristic_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector along the first 16 components, each of unit variance over the distinct vectors."""
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), count=16)
+
+
 @query("op12_nra_search", rf"""
     WITH t AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWERED}, '{lexical.TERM}') AS ws FROM documents),
     d AS (SELECT r, doc_id, len(ws)::BIGINT AS n FROM t),
