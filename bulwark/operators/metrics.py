@@ -35,16 +35,13 @@ def confusion_counts(df: DataFrame, label: str = "label", prediction: str = "pre
 def confusion_grid(counts: DataFrame) -> DataFrame:
     """Counts on the whole grid of classes that occur, 0 where a pair does not.
 
-    The counts are at most classes squared cells, which fit one row; the zero cells are added there,
-    so the predictions are read once.
+    Every class that occurs is set against the list of them all, so a row holds one side of the grid and no row the
+    whole; the counts are added to the zero cells by their pair.
     """
-    cells = counts.agg(
-        F.collect_list(F.struct("label", "prediction", "n")).alias("cells"),
-        F.array_union(F.collect_set("label"), F.collect_set("prediction")).alias("classes"))
-    zero = F.flatten(F.transform("classes", lambda t: F.transform("classes", lambda p: F.struct(
-        t.alias("label"), p.alias("prediction"), F.lit(0).cast("long").alias("n")))))
-    return cells.select(F.explode(F.concat("cells", zero)).alias("c")).select("c.*").groupBy(
-        "label", "prediction").agg(F.sum("n").alias("n"))
+    classes = counts.select(F.explode(F.array("label", "prediction")).alias("c")).distinct()
+    others = classes.agg(F.array_sort(F.collect_set("c"))).scalar()
+    zero = classes.select(F.col("c").alias("label"), F.explode(others).alias("prediction"), F.lit(0).cast("long").alias("n"))
+    return zero.unionByName(counts.select("label", "prediction", "n")).groupBy("label", "prediction").agg(F.sum("n").alias("n"))
 
 
 def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -169,9 +166,9 @@ def attack_metrics(df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
-def class_asr(df: DataFrame, name: str = "label_name") -> DataFrame:
+def class_asr(df: DataFrame, *by: str) -> DataFrame:
     clean, robust = F.col("original_pred") == F.col("label"), F.col("adv_pred") == F.col("label")
-    c = df.groupBy(name).agg(
+    c = df.groupBy(*(by or ("label_name",))).agg(
         F.count("*").alias("total"), F.count_if(clean).alias("originally_correct"),
         F.count_if(robust).alias("still_correct"), F.count_if(clean & ~robust).alias("attacks_successful"))
     return c.withColumn("asr", ratio(F.col("attacks_successful"), F.col("originally_correct")))
@@ -198,15 +195,21 @@ def entropy_stats(scored: DataFrame, median: Column) -> DataFrame:
 def selection_log(selected: DataFrame, pool: DataFrame, strategy: str, budget: int, method: Column,
                   attack: Column, confidence: Column) -> DataFrame:
     """One row on a round: sizes, entropy figures, and why the first five were selected."""
-    reason = explain_selection(F.col("entropy"), F.col("margin"), method, attack, confidence)
     size = pool.agg(F.count("*").alias("n")).scalar()
+    found = selected.agg(*selection_figures(method, attack, confidence))
+    return found.select(F.lit(strategy).alias("strategy"), F.lit(budget).alias("budget"), size.alias("pool_size"), "*")
+
+
+def selection_figures(method: Column, attack: Column, confidence: Column) -> list[Column]:
+    """Aggregates over one selection: its size, entropy figures, and why the first five were selected."""
+    reason = explain_selection(F.col("entropy"), F.col("margin"), method, attack, confidence)
     top = F.slice(F.array_sort(F.collect_list(F.when(F.col("rank") <= 5, F.struct("rank", reason.alias("why"))))), 1, 5)
-    return selected.agg(
+    return [
         F.count("*").alias("n_selected"),
         F.avg("entropy").alias("entropy_mean"), F.stddev_pop("entropy").alias("entropy_std"),
         F.min("entropy").alias("entropy_min"), F.max("entropy").alias("entropy_max"),
         F.array_join(F.transform(top, lambda t: t["why"]), " | ").alias("top_explanations"),
-    ).select(F.lit(strategy).alias("strategy"), F.lit(budget).alias("budget"), size.alias("pool_size"), "*")
+    ]
 
 
 def iteration_summary(events: DataFrame, metrics: DataFrame) -> DataFrame:

@@ -158,6 +158,23 @@ def select_top_b(scored: DataFrame, row_id: str, strategy: str, budget: int, see
     raise ValueError(f"unknown strategy {strategy}")
 
 
+def rank_within(scored: DataFrame, row_id: str, group: str, strategy: Column, budget: Column, most: int, seed: int = SEED) -> DataFrame:
+    """Budgeted selections of several groups at once, by the strategies that order rows by one figure.
+
+    strategy and budget are columns, alike for all rows of a group; `most` is the largest budget, which lets every
+    task drop rows early.
+    """
+    figure = (
+        F.when(strategy == "entropy", -F.col("entropy")).when(strategy == "margin", F.col("margin"))
+        .when(strategy == "composite", -F.col("utility")).otherwise(0.0)
+    )
+    draw = F.when(strategy == "random", seeded_md5(F.col(row_id), "random", seed)).otherwise("")
+    keyed = scored.withColumns({"_figure": figure, "_draw": draw, "_budget": budget})
+    rank = F.row_number().over(Window.partitionBy(group).orderBy("_figure", "_draw", row_id))
+    kept = keyed.withColumn("rank", rank).where((F.col("rank") <= most) & (F.col("rank") <= F.col("_budget")))
+    return kept.drop("_figure", "_draw", "_budget")
+
+
 def _drawn(df: DataFrame, row_id: str, tag: str, seed: int) -> DataFrame:
     return df.withColumn("_u", uniform(F.col(row_id), tag, seed)).withColumn(
         "_bucket", F.floor(F.col("_u") * BUCKETS).cast("int"))

@@ -3,12 +3,13 @@
 import json
 import os
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bulwark.functions import perturb
-from bulwark.operators import learning, metrics, records
+from bulwark.operators import learning, metrics, multifit, records
 from bulwark.plans import active, guard
 from bulwark.queries import learning as learning_queries
 from bulwark.queries import views
@@ -132,7 +133,68 @@ def test_model_scores_and_runs(spark, sf):
     values = {r["metric"]: r["value"] for r in learning.evaluate(model, test).collect()}
     assert set(values) == {"accuracy", "f1_weighted", "precision_weighted", "recall_weighted"}
     assert values["accuracy"] == pytest.approx(values["recall_weighted"])
-    assert learning_queries.sound_metrics(learning.evaluate(model, test))
+    # The same figures from the exported coefficients alone, in another engine.
+    import duckdb
+
+    table = learning.hashed(test, "label_mapped", ("doc_id",))
+    hashed_model = learning.PipelineModel(stages=model.stages[2:])
+    coef = learning.coefficient_table(hashed_model)
+    terms, con = learning.term_counts(table, "doc_id"), duckdb.connect()
+    for name, df in (("coef", coef), ("terms", terms), ("truth", hashed_model.transform(table).select("doc_id", F.col("label").cast("int").alias("label")))):
+        con.register(name, df.toArrow())
+    con.execute("""CREATE TABLE p AS SELECT doc_id, label, arg_max(class, (z, -class)) AS prediction FROM (
+        SELECT doc_id, label, b.class, any_value(b.coefficient) + coalesce(sum(tf * c.coefficient), 0) AS z FROM truth CROSS JOIN (SELECT * FROM coef WHERE term IS NULL) b
+        LEFT JOIN terms USING (doc_id) LEFT JOIN coef c ON c.term = terms.term AND c.class = b.class GROUP BY ALL) GROUP BY ALL""")
+    want = dict(con.execute("SELECT doc_id, prediction FROM p").fetchall())
+    assert {r["doc_id"]: r["prediction"] for r in scored} == want
+    assert con.execute("SELECT avg((label = prediction)::INT) FROM p").fetchone()[0] == pytest.approx(values["accuracy"])
+    precision = "SELECT sum(n * coalesce(r / nullif(m, 0), 0)) / sum(n) FROM (SELECT label AS c, count(*) AS n, sum((label = prediction)::INT) AS r FROM p GROUP BY 1) LEFT JOIN (SELECT prediction AS c, count(*) AS m FROM p GROUP BY 1) USING (c)"
+    assert con.execute(precision).fetchone()[0] == pytest.approx(values["precision_weighted"])
+    by_join = {r["doc_id"]: (r["prediction"], r["probs"]) for r in learning.sparse_scores(test, terms, coef, "doc_id", floor=5, salts=3).collect()}
+    assert all(by_join[r["doc_id"]] == (r["prediction"], pytest.approx(r["probs"], abs=1e-9)) for r in scored)
+
+
+def test_certificate_of_a_fit(spark, sf):
+    """The penalised gradient is near 0 at a fit's coefficients and nowhere else; both optimisers agree."""
+    train, _, _ = learning_queries.train_test(spark, sf)
+    table = learning.hashed(train, "label_mapped", ("doc_id",))
+    model = learning.train_hashed(table)
+    assert learning.residual(model, table) < 2e-3
+    rows = learning.fit_features(table).transform(table)
+    scale = multifit.deviations(rows)
+    blocks = multifit.packed(active.of_all(rows), "doc_id", scale)
+    theirs = multifit.coefficients(model.stages[-1], scale)
+    k = theirs.shape[1]
+    ours = multifit.fit(blocks, np.ones((1, k)), scale, learning.REG_PARAM, tolerance=1e-4)
+    assert ours.gradient[0] <= 1e-4 and np.abs(ours.theta - theirs)[:, :, :-1].max() < 0.02
+    _, g = multifit.objective(blocks, 0.9 * theirs, np.ones((1, k)), np.zeros(1, int), learning.REG_PARAM)
+    assert multifit.residual(g, 0.9 * theirs)[0] > 0.005
+
+
+def test_models_with_rows_of_their_own(spark):
+    """Each model's gradient is that of its rows and weights, summed plainly; blocks of several sizes hold the same."""
+    rng = np.random.default_rng(3)
+    from pyspark.ml.linalg import Vectors
+
+    rows = [(i, int(rng.integers(-1, 3)), float(rng.integers(0, 3)), float(rng.uniform(0.1, 1)), Vectors.sparse(6, sorted(rng.choice(6, 3, replace=False).tolist()), rng.normal(size=3)))
+            for i in range(40)]
+    df = spark.createDataFrame(rows, ["id", "model", "label", "weight", "features"]).repartition(3)
+    scale, weights, theta = rng.uniform(0.5, 2, 6), rng.uniform(0.5, 2, (3, 3)), rng.normal(size=(3, 3, 7))
+    value, g = multifit.objective(multifit.packed(df, "id", scale), theta, weights, np.arange(3), 0.1)
+    for m in range(3):
+        loss, total, grad = 0.0, 0.0, np.zeros((3, 7))
+        for _, own, label, w, x in rows:
+            if own in (-1, m):
+                x = np.append(x.toArray() * scale, 1.0)
+                p = np.exp(theta[m] @ x) / np.exp(theta[m] @ x).sum()
+                w *= weights[m][int(label)]
+                loss, total = loss - w * np.log(p[int(label)]), total + w
+                grad += w * np.outer(p - np.eye(3)[int(label)], x)
+        flat = theta[m].copy()
+        flat[:, -1] = 0
+        assert value[m] == pytest.approx(loss / total + 0.05 * (flat**2).sum()) and np.allclose(g[m], grad / total + 0.1 * flat)
+    empty = multifit.objective(multifit.packed(df.where("false"), "id", scale), theta, weights, np.arange(3), 0.1)
+    assert np.isfinite(empty[0]).all()
 
 
 def test_models_beat_the_largest_class_where_words_tell(spark):
@@ -157,11 +219,41 @@ def test_candidates_come_from_every_attack(spark, sf):
     n = pool.count()
     assert {r["attack"]: r["count"] for r in data.hits.groupBy("attack").count().collect()} == dict.fromkeys(
         perturb.attack_suite(F.lit("x"), F.lit(1), F.lit(None).cast("map<string,array<string>>")), n)
-    found = active.detect(data.model, data, "doc_id", 1.01)
+    found = active.detect(data, "doc_id", 1.01)
     assert found.count() == n and set(r[0] for r in found.select("attack").distinct().collect()) <= {"synonym", "char_swap"}
-    mix = active.retraining_mix(data, found.limit(3), "doc_id")
-    assert {r["origin"]: r["count"] for r in mix.groupBy("origin").count().collect()} == {
-        "clean": train.count(), "adversarial_clean": 3, "adversarial": 3}
+    chosen = found.orderBy("doc_id").limit(3).select("doc_id", F.lit(0).alias("model"))
+    rows = active.selected_rows(data, found, chosen, [1], "doc_id")
+    assert {(r["model"], r["weight"]): r["count"] for r in rows.groupBy("model", "weight").count().collect()} == {(0, 0.2): 6, (1, 0.2): 2 * n}
+    assert data.class_rows.sum() == train.count()
+
+
+def test_runs_together_are_the_runs_alone(spark, sf):
+    """Several settings in one scan give the timelines that each gives by itself."""
+    train, pool, test = learning_queries.train_test(spark, sf)
+    data = active.prepare(train, pool, test, "doc_id", "label_mapped", active.Settings(tau=0.97))
+    base = active.Settings(tau=0.97, budget=4, rounds=2)
+    settings = [active.replace(base, **c) for c in ({"strategy": "all", "rounds": 1, "adaptive": False}, {"strategy": "margin"},
+                {"strategy": "entropy_coreset", "budget": 3}, {"strategy": "composite", "beta": 2.0}, {"strategy": "random", "adaptive": False})]
+    together = active.checked(active.run_together(data, "doc_id", settings), ["run"]).orderBy("run", "iteration").collect()
+    flags = ("adds_up", "pool_shrinks", "in_budget", "rates_in_range", "explained")
+    assert all(r[c] for r in together for c in flags) and {r["run"] for r in together} == set(range(5))
+    assert [r["n_selected"] for r in together if r["run"] == 1][:2] == [0, 4]
+    whole = [r for r in together if r["run"] == 0]
+    assert [r["n_selected"] for r in whole] == [0, whole[0]["pool_size"]] and whole[0]["pool_size"] > 4
+    for i, s in ((1, settings[1]), (3, settings[3])):
+        alone = active.run_together(data, "doc_id", [s]).orderBy("iteration").collect()
+        mine = [r for r in together if r["run"] == i]
+        for a, b in zip(alone, mine, strict=True):
+            assert (a["n_selected"], a["pool_size"], a["top_explanations"]) == (b["n_selected"], b["pool_size"], b["top_explanations"])
+            assert a["robust_accuracy"] == b["robust_accuracy"] and a["entropy_mean"] == pytest.approx(b["entropy_mean"], abs=1e-6)
+
+
+def test_grid_is_complete():
+    grid = [active.replace(active.Settings(), **g) for g in active.GRID]
+    assert {s.strategy for s in grid} == {"all", "random", "entropy", "margin", "coreset", "entropy_coreset", "composite"}
+    of = lambda f, g: {f(s) for s in grid if s.strategy == "composite" and g(s)}
+    assert of(lambda s: s.beta, lambda s: s.budget == 50 and s.rounds == 5) == {0.0, 0.25, 0.5, 1.0, 2.0}
+    assert of(lambda s: s.budget, lambda s: s.beta == 0.5) == {10, 20, 50, 100} and of(lambda s: s.rounds, lambda s: True) == {1, 3, 5, 7}
 
 
 def test_model_under_attack_feeds_the_comparison(spark, sf):
