@@ -12,6 +12,7 @@ from bulwark.session import checkpointed
 
 ONE_TASK = 1_000_000  # values one task may hold
 BINS = 4096
+ACCURACY = 100_000  # ranks a sketch tells apart
 
 
 def kth_smallest(df: DataFrame, col: str, k: int, lo: float, hi: float, n: int, one_task: int = ONE_TASK) -> float:
@@ -41,16 +42,34 @@ def kth_smallest(df: DataFrame, col: str, k: int, lo: float, hi: float, n: int,
     return float(upto.where(F.col("upto") > k).agg(F.min("v")).first()[0])
 
 
-def exact_quantile(df: DataFrame, col: str, q: float, one_task: int = ONE_TASK) -> Column:
-    """Linearly interpolated quantile as a literal, null without values. The column is computed once."""
-    d = checkpointed(df.select(F.col(col).cast("double").alias(col)).where(F.col(col).isNotNull()))
-    lo, hi, n = d.agg(F.min(col), F.max(col), F.count("*")).first()
+def exact_quantile(df: DataFrame, col: str, q: float, one_task: int = ONE_TASK, accuracy: int = ACCURACY) -> Column:
+    """Linearly interpolated quantile as a literal, null without values. Two scans.
+
+    The first builds a mergeable sketch, which brackets both order statistics around q within a few `accuracy`-ths of
+    all rows. The second counts what lies below the bracket and each value in it; one task orders those values. If
+    the bracket should miss (it is checked), counts per bin narrow the whole range instead.
+    """
+    d = df.select(F.col(col).cast("double").alias(col)).where(F.col(col).isNotNull())
+    x = F.col(col)
+    around = [F.lit(min(1.0, max(0.0, q + side * 2.0 / accuracy))) for side in (-1, 1)]
+    n, lo, hi, bracket = d.agg(F.count("*"), F.min(x), F.max(x), F.percentile_approx(x, F.array(*around), accuracy)).first()
     if not n:
         return F.lit(None).cast("double")
     at = q * (n - 1)
-    low = kth_smallest(d, col, math.floor(at), lo, hi, n, one_task)
-    high = low if at == math.floor(at) else kth_smallest(d, col, math.ceil(at), lo, hi, n, one_task)
-    return F.lit(low + (high - low) * (at - math.floor(at)))
+    first, second = math.floor(at), math.ceil(at)
+    # Near an end, or with fewer rows than the sketch tells apart, the end itself is the bound.
+    low = lo if first <= 4 * n / accuracy + 1 else bracket[0]
+    high = hi if n - 1 - second <= 4 * n / accuracy + 1 else bracket[1]
+    value = F.when(x.between(low, high), x).when(x > high, F.lit(float("inf")))  # null: below
+    counts = d.groupBy(value.alias("v")).agg(F.count("*").alias("n"))
+    upto = counts.withColumn("upto", F.sum("n").over(Window.orderBy(F.asc_nulls_first("v"))))
+    below, a, b = upto.agg(
+        F.coalesce(F.max(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)),
+        F.min(F.when(F.col("upto") > first, F.col("v"))), F.min(F.when(F.col("upto") > second, F.col("v")))).first()
+    if below > first or b > high:
+        a = kth_smallest(d, col, first, lo, hi, n, one_task)
+        b = a if second == first else kth_smallest(d, col, second, lo, hi, n, one_task)
+    return F.lit(a + (b - a) * (at - first))
 
 
 def bin_index(x: Column, lo: Column, hi: Column, bins: int) -> Column:

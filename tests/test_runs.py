@@ -101,6 +101,56 @@ def test_stream_goes_on_from_its_checkpoint(spark, tmp_path):
     assert drain() == [("a", 200), ("b", 301), ("hot", 1)]
 
 
+def bytes_read(spark):
+    """Bytes that all finished stages have read so far."""
+    jvm, sc = spark.sparkContext._jvm, spark.sparkContext._jsc.sc()
+    sc.listenerBus().waitUntilEmpty()
+    empty = jvm.java.util.ArrayList()
+    stages = sc.statusStore().stageList(empty, False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), empty)
+    return sum(stages.apply(i).inputBytes() for i in range(stages.size()))
+
+
+def test_segments_cover_all_batches_once():
+    for n in range(600):
+        covered = []
+        for s in ingest.segments(n):
+            level, first = (int(p.split("=")[1]) for p in s.split("/"))
+            assert first % ingest.FANOUT**level == 0
+            covered += range(first, first + ingest.FANOUT**level)
+        assert covered == list(range(n))
+
+
+def test_stream_store_is_compacted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest, "FANOUT", 2)
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("full_text", T.StringType())])
+    incoming, base = str(tmp_path / "in"), str(tmp_path / "run")
+    os.makedirs(incoming)
+    for batch in range(6):
+        write_lines(f"{incoming}/{batch}.json", [{"id": 100 * batch + i, "full_text": f"text {i + batch}"} for i in range(5)])
+        stream = ingest.file_stream(spark, incoming, schema, "*.json", "json")
+        got = ingest.dedup_to_store(stream, "id", f"{base}/out", f"{base}/cp").collect()
+        assert sorted(int(r["full_text"].split()[1]) for r in got) == list(range(5 + batch))
+    assert os.path.isdir(f"{base}/out/digests/level=2/first=0") and ingest.segments(6) == ["level=2/first=0", "level=1/first=4"]
+
+
+def test_a_lookup_reads_few_pages_of_a_large_store(spark, tmp_path):
+    """Twenty times the store, about the same bytes read."""
+    spark.conf.set("spark.sql.parquet.pushdown.inFilterThreshold", str(ingest.LOOKUP))
+    read = []
+    asked = spark.createDataFrame([(x,) for x in ("0" * 64, "7" * 64, "F" * 64)], "text_hash string")
+    for n in (100_000, 2_000_000):
+        index = str(tmp_path / f"index{n}")
+        digests = spark.range(n).select(F.upper(F.sha2(F.col("id").cast("string"), 256)).alias("text_hash"))
+        ingest._write_segment(digests, f"{index}/level=0/first=0", n)
+        held = digests.limit(1).union(asked)
+        before = bytes_read(spark)
+        found = ingest.known_among(spark, index, 1, asked.union(spark.createDataFrame([(held.first()[0],)], "text_hash string"))).count()
+        read.append(bytes_read(spark) - before)
+        assert found == 1
+        size = sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(index) for f in fs)
+    assert read[1] < 2 * read[0] + 500_000 and read[1] < size / 10, (read, size)
+
+
 def test_dedup_with_event_time(spark, tmp_path):
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("ts", T.TimestampType()), T.StructField("full_text", T.StringType())])
     write_lines(tmp_path / "x.json", [{"id": i, "ts": f"2024-01-01T00:0{i}:00Z", "full_text": "t" if i < 3 else "u"} for i in range(5)])
