@@ -51,6 +51,19 @@ def guard_run(spark, sf):
     return out["counts"].join(stats, "split").join(quarantined, "split")
 
 
+@query("guard_run_audit", f"""
+    WITH c AS ({_G_REPORT}),
+         w AS (SELECT s.split, coalesce(x.n, 0) AS n, c.* EXCLUDE (split) FROM (VALUES ('train'), ('dev'), ('test')) s(split)
+               LEFT JOIN (SELECT split, count(*) AS n FROM v_ingested GROUP BY 1) x USING (split) LEFT JOIN c USING (split))
+    SELECT 'ingestion' AS stage, concat(split, '.records') AS key, n AS value FROM w
+    UNION ALL SELECT 'detection', concat(split, '.', if(name = 'total', 'records', name)), value
+    FROM (UNPIVOT (SELECT split, {", ".join(f"coalesce({c}, 0)::BIGINT AS {c}" for c in ("total", *records.FLAGS, "anomalies", "quarantined", "kept"))} FROM w)
+          ON total, {", ".join(records.FLAGS)}, anomalies, quarantined, kept INTO NAME name VALUE value)""")
+def guard_run_audit(spark, sf):
+    """Ingest, flag and store counts that the run's own writes made; the SQL recounts them."""
+    return guard.run_guard(spark, mention_files(spark, sf), scratch_path(spark, "guard"))["audit"]
+
+
 _U_OTHER = u_sql("row_key", "'other'")
 
 

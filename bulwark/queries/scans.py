@@ -7,9 +7,9 @@ from bulwark.operators import metrics, records
 from bulwark.queries import views
 from bulwark.queries.registry import query
 from bulwark.queries.views import table
-from bulwark.session import checkpointed, scratch_path
+from bulwark.session import checkpointed, scratch_path, spread
+from bulwark.sources import archives, stores
 from bulwark.sources import records as src
-from bulwark.sources import stores
 
 KEYED_SCHEMA = T.StructType([T.StructField("rec_id", T.LongType()), *src.RECORD_SCHEMA.fields])
 PLAIN = ("rec_id", "document", "mention", "sentence_left", "sentence_right", "label_link", "label_id")
@@ -64,19 +64,21 @@ def ingest_variants(spark, sf):
     return src.ingest_variants(spark, mention_files(spark, sf), KEYED_SCHEMA).select(*RICH, "split", "variant")
 
 
-@query("scan_text_files", "SELECT concat('page_', page_id, '.txt') AS document, concat(html, chr(10)) AS full_text FROM pages")
+@query("scan_text_files", "SELECT concat('page_', page_id, '.txt') AS document, coalesce(html, '') AS full_text FROM pages")
 def scan_text_files(spark, sf):
-    """Pages written as one text file each; the writer ends a file with a newline."""
+    """Pages packed as one text file each into an archive per task, and read back whole."""
     path = scratch_path(spark, "texts")
     name = F.concat(F.lit("page_"), F.col("page_id").cast("string"), F.lit(".txt"))
-    table(spark, sf, "pages").select(name.alias("document"), "html").write.partitionBy("document").text(path)
-    return src.scan_text_files(spark, path)
+    pages = spread(table(spark, sf, "pages"), "page_id")
+    archives.write_text_archives(pages.select(name.alias("document"), F.col("html").alias("full_text")), path)
+    return archives.scan_text_archives(spark, path)
 
 
-@query("store_raw_parquet", "SELECT split, count(*) AS n FROM v_docs GROUP BY split")
+@query("store_raw_parquet", "SELECT split, doc_id, md5(full_text) AS text_md5, lang, source, mention FROM v_docs")
 def store_raw_parquet(spark, sf):
-    return stores.store_raw(views.docs(spark, sf), scratch_path(spark, "raw")).groupBy("split").agg(
-        F.count("*").alias("n"))
+    """Every stored value, read back from the store."""
+    stored = stores.store_raw(views.docs(spark, sf), scratch_path(spark, "raw"))
+    return stored.select("split", "doc_id", F.md5("full_text").alias("text_md5"), "lang", "source", "mention")
 
 
 @query("store_clean_quarantine", """

@@ -15,7 +15,7 @@ from bulwark.queries import learning as learning_queries
 from bulwark.queries import views
 from bulwark.session import scratch_path
 from bulwark.sources import records as src
-from bulwark.sources import stores
+from bulwark.sources import archives, stores
 from bulwark.streaming import ingest
 
 
@@ -64,6 +64,28 @@ def test_guard_run_without_ids(spark, folder):
     assert out["clean"].where("split = 'train'").count() == 13
     assert out["quarantine"].count() == 1
     assert out["stats"].count() == 3
+    audit = {(r["stage"], r["key"]): r["value"] for r in out["audit"].collect()}
+    assert audit["detection", "train.kept"] == 13 and audit["detection", "train.quarantined"] == 1
+    for split, r in counts.items():  # what the run saw agrees with a recount
+        assert audit["detection", f"{split}.records"] == r["total"] and audit["detection", f"{split}.anomalies"] == r["anomalies"]
+    spent = {r["stage"]: r["seconds"] for r in out["runtime"].collect()}
+    assert spent["total"] == pytest.approx(sum(v for k, v in spent.items() if k != "total")) and len(spent) == 4
+
+
+def test_archives_of_text_files(spark, tmp_path):
+    rows = [(f"{i}.txt", "é" * i) for i in range(40)] + [("empty.txt", None), ("skip.md", "no"), ("long.txt", "x" * 5_000_000)]
+    folder = str(tmp_path / "a")
+    archives.write_text_archives(spark.createDataFrame(rows, "document string, full_text string").repartition(3), folder)
+    (tmp_path / "a" / "half.zip.open").write_bytes(b"left by a lost task")
+    want = sorted((d, t or "") for d, t in rows if d.endswith(".txt"))
+    got = archives.scan_text_archives(spark, folder)
+    assert sorted(tuple(r) for r in got.collect()) == want and got.rdd.getNumPartitions() == 3
+    # By Spark's own reader, as for stores that only Spark reads.
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.texts.link./in", f"file://{folder}")
+    assert sorted(tuple(r) for r in archives.scan_text_archives(spark, "viewfs://texts/in").collect()) == want
+    (tmp_path / "none").mkdir()
+    assert archives.scan_text_archives(spark, str(tmp_path / "none")).count() == 0
 
 
 def test_store_prunes_partitions(spark, sf):
