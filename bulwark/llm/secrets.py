@@ -12,6 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bulwark.functions.seeded import let
 from bulwark.llm.common import doubles, without
 from bulwark.session import checkpointed
 
@@ -27,7 +28,8 @@ POSSIBLE = {
     HEX: r"[0-9a-f]{24}",
 }
 
-TOKEN = r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{16,}"
+#: Tokens that count as ordinary, and how long one must be to be judged.
+LEAST = 16
 ORDINARY = r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{8,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 WIDTH = len(ALPHABET) + 1  # 0: any other character
@@ -35,23 +37,67 @@ WIDTH = len(ALPHABET) + 1  # 0: any other character
 _SPAN = "struct<start: bigint, kind: int, end: bigint>"
 
 
+#: Elements that a running total goes through one by one; their blocks are totalled first.
+BLOCK = 64
+
+
+def running(values: Column, combine) -> Column:
+    """combine(first, ..., this one) at each place, for sums or maxima of longs of at least 0.
+
+    A fold that appends to its result copies it each time. So each block of 64 values is folded for itself, from what
+    the blocks in front of it come to.
+    """
+    zero = F.array(F.lit(0).cast("bigint"))
+
+    def folded(part: Column, begin: Column) -> Column:
+        return F.aggregate(part, begin, lambda done, x: F.concat(done, F.array(combine(F.element_at(done, -1), x))))
+
+    def whole(v: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(v), F.lit(1)), F.lit(BLOCK))
+        sums = F.transform(starts, lambda s: F.aggregate(F.slice(v, s, F.lit(BLOCK)), F.lit(0).cast("bigint"), combine))
+
+        def from_blocks(before: Column) -> Column:
+            parts = F.transform(starts, lambda s, k: folded(F.slice(v, s, F.lit(BLOCK)), F.array(F.get(before, k))))
+            return F.flatten(F.transform(parts, lambda p: F.slice(p, F.lit(2), F.lit(BLOCK))))
+
+        return let(folded(sums, zero), from_blocks)
+
+    return let(F.transform(values, lambda x: x.cast("bigint")), whole)
+
+
 def located(text: Column, pattern: str) -> Column:
     """Matches of the pattern, leftmost and not overlapping: (start, end, match) in code points.
 
     A text is split at its matches, and the lengths of pieces and matches in turn add up to the places.
     """
     hits, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    kind = "array<struct<start: bigint, end: bigint, match: string>>"
-    both = F.arrays_zip(hits.alias("hit"), F.slice(gaps, 1, F.size(hits)).alias("gap"))
 
-    def add(done: Column, x: Column) -> Column:
-        start = done["at"] + F.length(x["gap"])
-        end = start + F.length(x["hit"])
-        one = F.struct(start.alias("start"), end.alias("end"), x["hit"].alias("match"))
-        return F.struct(end.alias("at"), F.concat(done["found"], F.array(one)).alias("found"))
+    def placed(h: Column) -> Column:
+        lengths = let(gaps, lambda g: F.transform(h, lambda m, i: F.length(m) + F.length(F.get(g, i))))
+        return let(running(lengths, lambda x, y: x + y), lambda ends: F.transform(h, lambda m, i: F.struct(
+            (F.get(ends, i) - F.length(m)).alias("start"), F.get(ends, i).alias("end"), m.alias("match"))))
+
+    return let(hits, placed)
+
+
+def apart(tokens: Column, spans: Column) -> Column:
+    """The tokens that overlap none of the spans, which are sorted by start and may overlap each other.
+
+    Of the spans that begin before a token's end, found by a binary search, the furthest end decides.
+    """
+
+    def kept(b: Column, furthest: Column) -> Column:
+        n = F.size(b)
+        steps = F.array(*[F.lit(1 << k) for k in reversed(range(27))])  # a text has fewer spans than 2**27
+
+        def before(end: Column) -> Column:
+            move = lambda at, s: F.when((at + s <= n) & (F.get(b, (at + s - 1).cast("int"))["start"] < end), at + s).otherwise(at)
+            return F.aggregate(steps, F.lit(0), move)
+
+        return F.filter(tokens, lambda t: F.coalesce(F.get(furthest, before(t["end"]) - 1) <= t["start"], F.lit(True)))
 
-    begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(kind).alias("found"))
-    return F.aggregate(both, begin, add, lambda done: done["found"])
+    found = let(spans, lambda b: let(running(F.transform(b, lambda x: x["end"]), lambda x, y: F.greatest(x, y)), lambda furthest: kept(b, furthest)))
+    return F.when(F.size(spans) == 0, tokens).otherwise(found)
 
 
 def matched(text: Column, pattern: str, keep) -> Column:
@@ -107,11 +153,12 @@ def scan(docs: DataFrame, text_col: str = "text", ordinary_rows: int = 20_000, o
 
     Spans are code points, ends exclusive. The first three kinds follow their patterns; the fourth are tokens whose
     characters are `odds` times likelier under the random model, after the ratio of tokens in all docs; they never
-    overlap the others. Random samples are all pattern matches of all docs; ordinary tokens are the others of 8
-    characters or more. They are counted in all docs, so that the threshold is that of the text and not of the table's
+    overlap the others. Random samples are all pattern matches of all docs; ordinary tokens are those of 8
+    characters or more that overlap no match. They are counted in all docs, so that the threshold is that of the text and not of the table's
     size. Pairs are counted once for each distinct text, random ones in all and ordinary ones in about
     `ordinary_rows` texts, drawn by a digest; both come down to one count for each pair of characters. So repeated
     rows change no span. Texts are hashed once and searched once, and never shuffled.
+    Work grows with the text and the logarithm of its matches.
     Defined cases: a null text is empty; without random or without ordinary samples only patterns count; an empty
     table gives an empty result; input columns named spans are replaced.
     """
@@ -125,20 +172,19 @@ def scan(docs: DataFrame, text_col: str = "text", ordinary_rows: int = 20_000, o
         matched(text, ASSIGN, lambda m: F.length(assigned_value(m)) >= 6).alias("__assign"),
         matched(text, ACCESS, lambda m: F.length(m) >= 20).alias("__access"),
         matched(text, HEX, lambda m: F.length(m) >= 24).alias("__hex"),
-        matched(text, TOKEN, lambda m: F.lit(True)).alias("__tokens"),
-        F.regexp_extract_all(text, F.lit(ORDINARY), F.lit(0)).alias("__ordinary"), drawn.alias("__drawn"),
-        F.xxhash64(text).alias("__text"),
+        matched(text, ORDINARY, lambda m: F.lit(True)).alias("__tokens"), drawn.alias("__drawn"), F.xxhash64(text).alias("__text"),
     )
     patterns = ["__assign", "__access", "__hex"]
     base = F.concat(*[as_spans(F.col(c), k) for k, c in enumerate(patterns)])
     values = F.concat(F.transform("__assign", lambda m: assigned_value(m["match"])), *[F.transform(c, lambda m: m["match"]) for c in patterns[1:]])
-    free = F.filter(F.col("__tokens"), lambda t: ~F.exists("__base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-    plain = F.filter(F.col("__ordinary"), lambda t: ~F.exists("__random", lambda v: F.contains(t, v)))
+    based = found.withColumns({"__base": F.array_sort(base), "__random": values})
+    plain = based.withColumn("__plain", apart(F.col("__tokens"), F.col("__base")))
+    ordinary = F.when(F.col("__drawn"), F.transform("__plain", lambda t: t["match"]))
     held = checkpointed(
-        found.withColumns({"__base": F.array_sort(base), "__random": values})
-        .withColumns({"__free": free, "__ordinary": plain})
-        .withColumns({"__n_ordinary": F.size("__ordinary"), "__ordinary": F.when(F.col("__drawn"), F.col("__ordinary"))})
-        .select(*[F.col(f"`{c}`") for c in kept], "__base", "__random", "__free", "__ordinary", "__n_ordinary", "__text")
+        plain.select(
+            *[F.col(f"`{c}`") for c in kept], "__base", "__random", F.filter("__plain", lambda t: F.length(t["match"]) >= LEAST).alias("__free"),
+            ordinary.alias("__ordinary"), F.size("__plain").alias("__n_ordinary"), "__text",
+        )
     )
     texts = held.where((F.size("__random") > 0) | (F.size("__ordinary") > 0)).select("__text", "__random", "__ordinary").dropDuplicates(["__text"])
     samples = texts.select(F.explode(F.array(F.struct(F.lit(True).alias("random"), F.col("__random").alias("t")), F.struct(F.lit(False).alias("random"), F.col("__ordinary").alias("t")))).alias("s"))
