@@ -2,13 +2,14 @@
 
 The standard library's parser streams events. Block tags end a line. A line has its text, the tags inside it, and
 the container it stands in; text inside menus, headers, footers, sidebars, notices, adverts, forms, scripts and
-reader comments counts for nothing. Text-to-tag ratios are smoothed along the lines between such parts, and stretches
-whose smoothed ratio reaches the page's standard deviation are content regions.
+reader comments counts for nothing. Text-to-tag ratios are smoothed along the lines between such parts, or along a
+whole article, and stretches whose smoothed ratio reaches the page's standard deviation are content regions.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 from html.parser import HTMLParser
 from typing import NamedTuple
 
@@ -18,13 +19,13 @@ from pyspark.sql import types as T
 
 # The names that HTML gives to these parts, and words that pages use for them in class and id.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("script style template noscript head title iframe object svg canvas select button textarea".split())
-CHROME = frozenset("nav header footer aside form menu dialog".split())
+HIDDEN = frozenset("script style template noscript head title iframe object svg canvas select button textarea label legend datalist".split())
+CHROME = frozenset("nav header footer aside menu dialog".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark meter q rp rt ruby s samp "
+    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark meter q rp rt ruby s samp "
     "small span strike strong sub sup time tt u var wbr".split()
 )
-ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
+ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar".split())
 MARKED = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent "
     "gdpr notice notices popup modal newsletter subscribe signup nav navbar navigation menu breadcrumb breadcrumbs "
@@ -39,7 +40,7 @@ LAYOUT = frozenset("no has with without".split())
 TEXTUAL = frozenset("h1 h2 h3 h4 h5 h6 p".split())
 CONTENT = frozenset("article main".split())
 #: Sections that reopen content inside a page header of their own.
-SECTIONS = frozenset("article main section div body td".split())
+SECTIONS = frozenset("article main section div form body td".split())
 
 SIGMA = 2.0
 #: What a line's ratio counts for in an element that has a marked word as part of a longer name only.
@@ -50,6 +51,8 @@ OUTSIDE = 0.1
 FULL = 100.0
 #: So many lines in a row that are mostly links are a list of links.
 LINKS = 3
+#: A form that holds more of a page's text than this is the page's own wrapper.
+FORM = 2 / 3
 FEED = 1 << 16
 
 
@@ -65,10 +68,11 @@ class Line(NamedTuple):
 
 
 class Mark:
-    """An element with a marked class or id. Whether the mark holds is known at the page's end."""
+    """A form, or an element with a marked class or id. Whether the mark holds is known at the page's end."""
 
-    def __init__(self, weight: float, sure: bool, inside: bool):
+    def __init__(self, weight: float, sure: bool, inside: bool, share: float = 0.5):
         self.weight, self.sure, self.inside = weight, sure, inside  # weight 0: left out
+        self.share = share  # of the page's text; an element that holds more is no mere part of it
         self.holds_content = False
         self.chars = 0
 
@@ -86,12 +90,19 @@ class Lines(HTMLParser):
         self.containers = 0
         self.regions = 0
         self.links, self.linked = 0, 0
+        self.tags_open: Counter[str] = Counter()
 
     def left_out(self) -> bool:
         return bool(self.open) and self.open[-1][1]
 
     def inside(self) -> bool:
-        return any(x[0] in CONTENT for x in self.open)
+        return self.tags_open["article"] + self.tags_open["main"] > 0
+
+    def cut(self, i: int) -> None:
+        """Close the open elements from place i on."""
+        for x in self.open[i:]:
+            self.tags_open[x[0]] -= 1
+        del self.open[i:]
 
     def end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
@@ -131,12 +142,13 @@ class Lines(HTMLParser):
             marks = (*marks, len(self.marks))
             self.marks.append(mark)
         self.open.append((tag, out, container, marks))
+        self.tags_open[tag] += 1
 
     def close_open(self, tag: str) -> None:
         """Close an open tag of this kind if nothing but inline tags and paragraphs stands inside it."""
-        for i in range(len(self.open) - 1, -1, -1):
+        for i in range(len(self.open) - 1, -1, -1) if self.tags_open[tag] else ():
             if self.open[i][0] == tag:
-                del self.open[i:]
+                self.cut(i)
                 return
             if self.open[i][0] not in INLINE and self.open[i][0] != "p":
                 return
@@ -162,6 +174,8 @@ class Lines(HTMLParser):
         if tag in ("html", "body") or tag in CONTENT or tag in TEXTUAL:
             return None
         inside, weight, sure = self.inside(), 1.0, False
+        if tag == "form" or ("role", "form") in attrs:
+            return Mark(0.0, False, inside, FORM)
         for name, value in attrs:
             if name not in ("class", "id"):
                 continue
@@ -186,9 +200,9 @@ class Lines(HTMLParser):
     def handle_endtag(self, tag):
         if tag not in INLINE and tag not in HIDDEN:
             self.end_line()
-        for i in range(len(self.open) - 1, -1, -1):
+        for i in range(len(self.open) - 1, -1, -1) if self.tags_open[tag] else ():
             if self.open[i][0] == tag:
-                del self.open[i:]
+                self.cut(i)
                 return
             if self.open[i][0] in CONTENT and tag not in ("body", "html", *SECTIONS):
                 return  # a stray end tag doesn't close the article around it
@@ -196,7 +210,7 @@ class Lines(HTMLParser):
     def handle_data(self, data):
         if not self.left_out():
             self.parts.append(data)
-            if self.links and any(x[0] == "a" for x in self.open):
+            if self.links and self.tags_open["a"]:
                 self.linked += sum(map(len, data.split()))
 
     def finish(self) -> None:
@@ -209,12 +223,12 @@ class Lines(HTMLParser):
     def weights(self) -> list[float]:
         """What each line's ratio counts for; 0: left out.
 
-        A mark is void if its element holds an article or main, or most of the page's text; the latter doesn't hold
-        for adverts and comments, nor beside an article.
+        A mark is void if its element holds an article or main, or most of the page's text (a form: two thirds, as pages
+        may stand in one whole); the latter doesn't hold for adverts and comments, nor beside an article.
         """
         total = sum(len(x.text) for x in self.lines)
         has_content = any(x.inside for x in self.lines)
-        void = [m.holds_content or not m.sure and 2 * m.chars > total and (m.inside or not has_content) for m in self.marks]
+        void = [m.holds_content or not m.sure and m.chars > m.share * total and (m.inside or not has_content) for m in self.marks]
         return [min((self.marks[m].weight for m in x.marks if not void[m]), default=1.0) for x in self.lines]
 
 
@@ -244,28 +258,26 @@ def main_text(html: str | None, sigma: float = SIGMA) -> str:
 
 
 def runs(lines: list[Line], weights: list[float]) -> list[list[int]]:
-    """Places of lines that follow each other without a part between them that is left out; articles and lists of links apart."""
+    """Places of lines outside articles that follow each other without a part between them that is left out; lists of links apart."""
     stretches: list[tuple[bool, list[int]]] = []
     before = None
     for i, (line, weight) in enumerate(zip(lines, weights, strict=True)):
-        if not weight:
+        if not weight or line.inside:
             before = None
             continue
-        key = (line.region, line.inside, line.linked > 0.5)
+        key = (line.region, line.linked > 0.5)
         if key != before:
             stretches.append((line.linked > 0.5, []))
         stretches[-1][1].append(i)
         before = key
-    sizes: dict[int, int] = {}
-    for line, weight in zip(lines, weights, strict=True):
-        sizes[line.container] = sizes.get(line.container, 0) + (weight > 0)
+    sizes = container_sizes(lines, weights)
     out: list[list[int]] = []
     joins = False  # the last run may go on
     for linked, places in stretches:
-        whole = len(places) >= sum(sizes[c] for c in {lines[i].container for i in places})
-        apart = linked and (len(places) >= LINKS or whole and sum(lines[i].links for i in places) > 1)
-        last, first = (lines[out[-1][-1]] if out else None), lines[places[0]]
-        if joins and not apart and (last.region, last.inside) == (first.region, first.inside) and all(weights[out[-1][-1] : places[0]]):
+        apart = linked and is_list(lines, places, sizes)
+        if joins and not apart and lines[out[-1][-1]].region == lines[places[0]].region and all(weights[out[-1][-1] : places[0]]) and not any(
+            x.inside for x in lines[out[-1][-1] : places[0]]
+        ):
             out[-1] += places
         else:
             out.append(places)
@@ -273,25 +285,70 @@ def runs(lines: list[Line], weights: list[float]) -> list[list[int]]:
     return out
 
 
+def container_sizes(lines: list[Line], weights: list[float]) -> dict[int, int]:
+    sizes: dict[int, int] = {}
+    for line, weight in zip(lines, weights, strict=True):
+        sizes[line.container] = sizes.get(line.container, 0) + (weight > 0)
+    return sizes
+
+
+def is_list(lines: list[Line], places: list[int], sizes: dict[int, int]) -> bool:
+    """Whether neighbouring lines that are mostly links are a list of links: so many, or all of their containers."""
+    whole = len(places) >= sum(sizes[c] for c in {lines[i].container for i in places})
+    return len(places) >= LINKS or whole and sum(lines[i].links for i in places) > 1
+
+
+def articles(lines: list[Line], weights: list[float]) -> list[list[int]]:
+    """Places of lines in articles and mains, whatever is left out between them; text outside begins another group."""
+    out: list[list[int]] = []
+    goes_on = False
+    for i, (line, weight) in enumerate(zip(lines, weights, strict=True)):
+        if weight and line.inside:
+            if not goes_on:
+                out.append([])
+            out[-1].append(i)
+        goes_on = line.inside if weight else goes_on
+    return out
+
+
 def content(lines: list[Line], weights: list[float], sigma: float = SIGMA) -> list[int]:
     """Places of the content lines.
 
-    Ratios are smoothed along each run, across its containers. Content are lines that reach the page's standard
-    deviation, those between two such lines of a run, and the others of their containers there.
+    Ratios are smoothed along each run, across its containers, and along each article, across adverts in it. Of a run,
+    content are lines that reach the page's standard deviation, those between two such lines, and the others of their
+    containers there. Of an article that has such a line all is content, but for links at its two ends that are a list
+    or stand in a container of their own.
     """
-    parts = [(run, smoothed([min(FULL, len(lines[i].text) / (lines[i].tags + 1)) * weights[i] for i in run], sigma)) for run in runs(lines, weights)]
-    every = [r for _, ratio in parts for r in ratio]
+    groups = [(run, False) for run in runs(lines, weights)] + [(places, True) for places in articles(lines, weights)]
+    parts = [(run, whole, smoothed([min(FULL, len(lines[i].text) / (lines[i].tags + 1)) * weights[i] for i in run], sigma)) for run, whole in groups]
+    every = [r for *_, ratio in parts for r in ratio]
     if not every:
         return []
     mean = sum(every) / len(every)
     least = math.sqrt(sum((r - mean) ** 2 for r in every) / len(every))
-    kept = []
-    for run, ratio in parts:
-        high = [k for k, r in enumerate(ratio) if r >= least]
-        if high:
-            found = {lines[run[k]].container for k in high}
+    sizes, kept = container_sizes(lines, weights), []
+    for run, whole, ratio in parts:
+        high = [k for k, r in enumerate(ratio) if r >= least and not (whole and lines[run[k]].linked > 0.5)]
+        if whole and not high and all(r >= least for r in ratio):
+            high = list(range(len(run)))  # nothing but links, and the page has nothing better
+        if not high:
+            continue
+        found = {lines[run[k]].container for k in high}
+        if not whole:
             kept += [i for k, i in enumerate(run) if high[0] <= k <= high[-1] or lines[i].container in found]
-    return kept
+            continue
+        kept += run[high[0] : high[-1] + 1]
+        for end in (run[: high[0]], run[high[-1] + 1 :]):
+            linked: list[int] = []
+            for i in [*end, None]:
+                if i is not None and lines[i].linked > 0.5:
+                    linked.append(i)
+                    continue
+                if linked and not is_list(lines, linked, sizes) and any(lines[j].container in found for j in linked):
+                    kept += linked
+                linked = []
+                kept += [i] if i is not None else []
+    return sorted(kept)
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:

@@ -51,3 +51,37 @@ def test_an_article_is_a_prior_and_the_ratio_decides():
     table = "".join(f"<tr><td>{i}<td>{i * i}" for i in range(20))
     cells = "\n\n".join(f"{i}\n\n{i * i}" for i in range(20))
     assert main_text(f"<article>{body}<p>Table</p><table>{table}</table></article>") == f"{want}\n\nTable\n\n{cells}"
+
+
+ADVERT, ASIDE = "<div class='ad'>Buy this now</div>", "<aside>Elsewhere</aside>"
+SIXTY = paragraph(300)
+LIST = "<ul>" + "".join(f"<li><a href=/{i}>link {i}</a></li>" for i in range(5)) + "</ul>"
+ITEMS = "\n\n".join(f"link {i}" for i in range(5))
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<article>{f'<p>{SIXTY}</p>' * 3}{ADVERT}<p>Short closing sentence here.</p></article>", f"{SIXTY}\n\n" * 3 + "Short closing sentence here."),
+    (f"<article><p>{SIXTY}</p>{ASIDE}<p>Ok.</p>{ASIDE}<p>{SIXTY}</p></article>", f"{SIXTY}\n\nOk.\n\n{SIXTY}"),
+    (f"<article><p>{SIXTY}</p><p>{SIXTY}</p>{ADVERT}<div>{paragraph(60)}</div></article>", f"{SIXTY}\n\n{SIXTY}\n\n{paragraph(60)}"),
+    (f"<article><p>{SIXTY}</p>{LIST}<p>{SIXTY}</p></article>", f"{SIXTY}\n\n{ITEMS}\n\n{SIXTY}"),
+    (f"<article><p>{SIXTY}</p><p><a href=/a>One</a></p><p><a href=/b>Two</a></p><p>{SIXTY}</p></article>", f"{SIXTY}\n\nOne\n\nTwo\n\n{SIXTY}"),
+    (f"<article><p>{SIXTY}</p><div class=notice>Note</div><div class='login-guide'>{paragraph(96 * 5)}</div></article>", f"{SIXTY}\n\n{paragraph(96 * 5)}"),
+    (f"<article><p>{SIXTY}</p><div class=notice>Note</div><div class='login-guide'>{paragraph(60)}</div><p>End.</p></article>", f"{SIXTY}\n\n{paragraph(60)}\n\nEnd."),
+    (f"<form id=aspnet action=/><div><p>{SIXTY}</p><p>{SIXTY}</p></div><label>Your name</label><input></form>", f"{SIXTY}\n\n{SIXTY}"),
+    (f"<form><nav>menu</nav><article><p>{SIXTY}</p><p>x</p></article><footer>f</footer></form>", f"{SIXTY}\n\nx"),
+    (f"<article><p>{SIXTY}</p><form><p>Subscribe to our letters</p><label>Mail</label><input></form><p>End.</p></article>", f"{SIXTY}\n\nEnd."),
+    (f"<div><p>{SIXTY}</p><p>{SIXTY}</p></div><form><p>Find</p></form>", f"{SIXTY}\n\n{SIXTY}"),
+])
+def test_articles_lose_no_text(page, want):
+    assert main_text(page) == want
+
+
+@pytest.mark.parametrize("page", ["{o}<article><p>{t}</p></article>{c}", "<article>{o}<p>{t}</p>{c}</article>", "{o}<p>{t}</p>{c}</i></b>"])
+def test_deep_nesting_is_linear(page):
+    import time
+
+    n = 8_000
+    made = page.format(o="<div><b>x</b>" * n, c="</div></span>" * n, t=LONG)
+    begun = time.process_time()
+    assert LONG in main_text(made)
+    assert time.process_time() - begun < 2
