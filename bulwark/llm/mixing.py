@@ -106,9 +106,10 @@ def mix(
     less of every source by its weight. A document is taken if the tokens in front of it in its source's stream are
     fewer than the source's budget. The block of a document is the part of the budget in which it begins. Running
     totals are kept within 1 / 4096 of a source's permutation and shifted by the totals in front, so a source with
-    a third of all rows is no task's burden; tokens, not texts, are counted and shuffled, and the texts join once.
+    a third of all rows is no task's burden. A row taken several times travels as often, its text with it.
     Defined cases: null is a source like any other; empty and null texts count one token; rows that share id and
-    text are separate rows, taken alike or not by their order; no rows give no rows; input columns epoch, block and
+    text are separate rows, taken alike or not by their order; no rows give no rows, nor does a budget of 0, nor a
+    source whose part of the budget comes to less than a token (it is rounded up from a millionth of one on); input columns epoch, block and
     weight are replaced.
     """
     rows = without(docs, "epoch", "block", "weight").withColumns({
@@ -123,7 +124,7 @@ def mix(
     # A source's budget in tokens; rounding must not cost the largest source its last document.
     wanted = totals.select(
         "__source", "n", (power / scale).alias("weight"), F.ceil(power / scale * asked - 1e-6).cast("long").alias("want")
-    ).withColumn("want", F.greatest("want", F.col("n")) if budget is None else F.col("want"))
+    ).withColumn("want", F.greatest("want", F.col("n")) if budget is None else F.col("want")).where("want > 0")
     epochs = F.call_function("div", F.col("want") + F.col("n") - 1, F.col("n"))
     taken = (
         rows.join(F.broadcast(wanted) if plan.sources <= BROADCAST_SOURCES else wanted, "__source")

@@ -85,3 +85,15 @@ def test_smaller_budget_and_empty_table(spark):
     taken = {r["source"]: r["n"] for r in out.groupBy("source").agg(F.sum(mixing.tokens(F.col("text"))).alias("n")).collect()}
     assert 400 <= sum(taken.values()) <= 400 + 5 * 42
     assert mixing.mix(df.limit(0), F.col("source"))[0].count() == 0
+
+
+def test_budgets_below_a_token(spark):
+    given = [(i, "x y z", "big") for i in range(40)] + [(100, "x", "small")]
+    df = spark.createDataFrame(given, ROWS)
+    assert mixing.mix(df, F.col("source"), budget=0)[0].count() == 0
+    one = mixing.mix(df, F.col("source"), budget=1)[0].groupBy("source").count().collect()
+    assert {r["source"]: r["count"] for r in one} == {"big": 1, "small": 1}
+    # the small source's part is below a millionth of a token
+    few = spark.createDataFrame([(i, "w " * 50_000, "big") for i in range(60)] + [(100, None, "small")], ROWS)
+    got = mixing.mix(few, F.col("source"), repeats=1.0, budget=1)[0].collect()
+    assert {r["source"] for r in got} == {"big"} and min(r["epoch"] for r in got) == 0
