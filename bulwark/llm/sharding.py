@@ -34,17 +34,26 @@ def range_shards(
 
     key, tie: long columns that order the rows; rows of one key stay together unless they fill a range or more.
     size: positive long. A range holds at most about twice the mean, so a shard is off its share by at most two
-    ranges or one record, whichever is larger. The sample has about shards * ranges_per_shard * samples_per_range
+    ranges or one record, whichever is larger. Rows alike in key and tie that fill more than a range are told apart
+    by their place in the scan, so df should be a table as read. The sample has about shards * ranges_per_shard * samples_per_range
     rows at any input size; only it, the boundaries and one total for each range reach the driver.
     Defined cases: null keys count as the smallest long; rows alike in key and tie are interchangeable; an empty
     table gives an empty result; input columns named shard or slot are replaced. Every row gets exactly one place.
     """
     rows = without(df, "shard", "slot").withColumns({
         "__key": F.coalesce(key, F.lit(LONG_MIN)), "__tie": F.coalesce(tie, F.lit(LONG_MIN)), "__size": size,
+        "__place": F.monotonically_increasing_id(),
     })
-    narrow = checkpointed(rows.select("__key", "__tie", "__size"))
+    narrow = checkpointed(rows.select("__key", "__tie", "__size", "__place"))
     total = narrow.agg(F.coalesce(F.sum("__size"), F.lit(0)).alias("b")).first()["b"]
-    bounds, held = splitters(narrow, total, shards * ranges_per_shard, samples_per_range)
+    ranges = shards * ranges_per_shard
+    bounds, held = splitters(narrow, total, ranges, samples_per_range)
+    heavy = [r for r, (b, n) in held.items() if b > 2 * max(1, total // ranges) and n > 1]
+    if heavy:  # no boundary fits between rows alike in key and tie: these are told apart by their place
+        alike = F.array_contains(longs(heavy), bounds_passed(F.col("__key"), F.col("__tie"), bounds).cast("long"))
+        apart = F.when(alike, F.xxhash64("__place", F.lit(SEED))).otherwise(F.col("__tie"))
+        rows, narrow = rows.withColumn("__tie", apart), checkpointed(narrow.withColumn("__tie", apart))
+        bounds, held = splitters(narrow, total, ranges, samples_per_range)
 
     start, first, b, n = [], [], 0, 0
     for r in range(len(bounds) + 1):
@@ -76,7 +85,7 @@ def range_shards(
         .withColumns({"__end": F.sum("__size").over(in_range), "__piece": piece, "__rank": rank})
         .withColumn("shard", shard_of(F.col("__end"), F.col("__piece")))
         .withColumn("slot", (F.get(longs(first), F.col("__range")) + F.col("__rank") - F.get(longs(before), F.col("shard"))).cast("long"))
-        .drop("__key", "__tie", "__size", "__range", "__end", "__piece", "__rank")
+        .drop("__key", "__tie", "__size", "__place", "__range", "__end", "__piece", "__rank")
     )
 
 

@@ -59,3 +59,31 @@ def test_registered_query(spark, sf):
     for r in rows:
         raw = texts[r["doc_id"]].encode()
         assert (r["size"], r["text_crc32"], r["grown_shard"]) == (len(raw) + 1, zlib.crc32(raw), None)
+
+
+def test_a_row_repeated_for_half_the_table_is_dealt_out(spark):
+    rng = random.Random(2)
+    rows = [(1, "repeated row " * 3)] * 1000 + [(i, "z" * rng.randrange(10, 70)) for i in range(2, 1002)]
+    rng.shuffle(rows)
+    out = placed(spark.createDataFrame(rows, ROWS)).collect()
+    held, slots = [0] * 16, [[] for _ in range(16)]
+    for r in out:
+        held[r["shard"]] += len(r["text"]) + 1
+        slots[r["shard"]].append(r["slot"])
+    total = sum(held)
+    assert len(out) == 2000 and all(sorted(s) == list(range(len(s))) for s in slots)
+    assert all(abs(b - total / 16) <= 2 * (2 * total / 1024) + 71 for b in held)
+    assert len({r["shard"] for r in out if r["doc_id"] == 1}) >= 7
+
+
+def test_registered_query_is_balanced_and_gapless(spark, sf):
+    from bulwark.llm.queries import QUERIES
+
+    out = QUERIES["op1_sampled_splitters"](spark, sf).collect()
+    held, slots = [0] * 16, [[] for _ in range(16)]
+    for r in out:
+        held[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    total, largest = sum(held), max(r["size"] for r in out)
+    assert all(sorted(s) == list(range(len(s))) for s in slots)
+    assert all(abs(b - total / 16) <= 2 * max(2 * total / 1024, largest) for b in held)
