@@ -43,10 +43,15 @@ def deciding_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
     return out
 
 
-def parents(host: Column) -> Column:
-    """The host without its first label, as long as two labels are left."""
-    rest = F.regexp_extract(host, r"(?s)^[^.]*\.(.*)$", 1)
-    return F.when(F.contains(rest, F.lit(".")), rest)
+def family(hosts: DataFrame) -> DataFrame:
+    """(h, p), distinct: each host and the parents above it, with the next parent of each, as long as two labels are left.
+
+    One pass whatever the number of labels: a host gives a row for each of its dots.
+    """
+    labels = F.size(F.split(F.col("src"), r"\.", -1))
+    up = hosts.where(labels > 2).select("src", F.explode(F.sequence(labels, F.lit(3), F.lit(-1))).alias("k"))
+    rest = lambda k: F.call_function("substring_index", F.col("src"), F.lit("."), k)
+    return up.select(rest(-F.col("k")).alias("h"), rest(1 - F.col("k")).alias("p")).distinct()
 
 
 def host_edges(pages: DataFrame) -> DataFrame:
@@ -59,15 +64,9 @@ def host_edges(pages: DataFrame) -> DataFrame:
     found = checkpointed(pages.where("host <> ''").select(F.col("host").alias("src"), F.explode_outer(targets).alias("dst")).groupBy("src", "dst").agg(F.count("*").alias("n")))
     links = found.where("dst is not null and src <> dst")
     hosts = found.select("src").union(links.select("dst")).distinct()
-    family = None
-    level = hosts
-    while not level.isEmpty():
-        up = checkpointed(level.select(F.col("src").alias("h"), parents(F.col("src")).alias("p")).where("p is not null"))
-        family = up if family is None else family.union(up)
-        level = up.select(F.col("p").alias("src")).distinct()
-    both = family.select(F.col("h").alias("src"), F.col("p").alias("dst")).union(family.select(F.col("p").alias("src"), F.col("h").alias("dst"))).distinct() if family is not None else None
-    if both is not None:
-        links = links.unionByName(both.withColumn("n", F.lit(1).cast("long")))
+    up = checkpointed(family(hosts))
+    both = up.select(F.col("h").alias("src"), F.col("p").alias("dst")).union(up.select(F.col("p").alias("src"), F.col("h").alias("dst")))
+    links = links.unionByName(both.withColumn("n", F.lit(1).cast("long")))
     return links.groupBy("src", "dst").agg(F.sum("n").alias("n"))
 
 

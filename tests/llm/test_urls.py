@@ -50,3 +50,19 @@ def test_registered_query_matches_sql(spark, sf, duck):
     from bulwark.llm.queries import QUERIES, SQL
 
     assert compare(QUERIES["op3_url_trust"](spark, sf), duck, SQL["op3_url_trust"]) == ""
+
+
+def test_families_take_one_pass(spark):
+    long = ".".join(f"l{i}" for i in range(1000)) + ".org"
+    hosts = ["a.b.c.org", "b.c.org", "c.org", "org", "a..b", ".x.y", "x.y.", "", long]
+
+    def plain(h):
+        out = set()
+        while "." in h.partition(".")[2]:
+            out.add((h, h.partition(".")[2]))
+            h = h.partition(".")[2]
+        return out
+
+    got = urls.family(spark.createDataFrame([(h,) for h in hosts], "src string"))
+    assert {tuple(r) for r in got.collect()} == set().union(*map(plain, hosts))
+    assert got.count() == len(set().union(*map(plain, hosts)))
