@@ -188,6 +188,14 @@ def test_tfidf_salted_equals_plain(spark, sf):
     assert a.exceptAll(b).count() == 0 and b.count() == a.count()
 
 
+def test_terms_that_share_a_key_travel_as_strings(spark, sf, monkeypatch):
+    d = views.docs(spark, sf).select("doc_id", "full_text")
+    want = learning.tfidf_terms(d, "doc_id")
+    monkeypatch.setattr(learning, "term_key", lambda t: F.pmod(F.xxhash64(t), F.lit(50)))
+    got = learning.tfidf_terms(d, "doc_id")
+    assert got.columns == want.columns and got.exceptAll(want).count() == 0 and got.count() == want.count()
+
+
 def test_weighted_mix(spark):
     df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "id long, l string")
     mix = learning.weighted_mix(dict.fromkeys(learning.RETRAIN_WEIGHTS, df), "l", learning.RETRAIN_WEIGHTS)
