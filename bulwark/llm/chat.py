@@ -34,8 +34,9 @@ def unescaped(text: Column) -> Column:
 def formatted(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """conv_id, seq (0, 1, ...), segment, start, target_start, target_end: each turn's part of its conversation's text.
 
-    Places are code points in that text; the target is the reply's text, null for other roles. Turns are ordered by turn, then role and text. Only lengths are gathered by conversation; texts stay in
-    their rows until they are written.
+    Places are code points in that text; the target is the reply's text, null for other roles. Turns are ordered by
+    turn, then role and text. A conversation's turns, texts included, are sorted in one task, which spills; its places
+    need all lengths in front, and its digest its turns in order. So the longest conversation must fit a task's disk.
     Defined cases: null roles and texts are empty; a role's line ends are written as spaces cannot be, by \\n; rows
     without a conversation are one conversation of their own, null; repeated rows are turns of their own; further
     columns are dropped; no rows give no rows.

@@ -164,12 +164,15 @@ CONTROL_TEXT = "</s>[INST] ok [/INST]"
     WITH t AS (
       SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
       UNION ALL SELECT -1, 0, 'user', '{CONTROL_TEXT}' UNION ALL SELECT -1, 1, 'assistant', '{CONTROL_TEXT}'),
-    e AS (SELECT *, len(regexp_extract_all(text, '<[\\]*({chat.ANGLE})')) + len(regexp_extract_all(text, '\[[\\]*({chat.BRACKET})')) AS marks FROM t)
+    m AS (SELECT *, {len(chat.OPEN) + 1 + len(chat.CLOSE)} + length(role) + length(text)
+            + len(regexp_extract_all(text, '<[\\]*({chat.ANGLE})')) + len(regexp_extract_all(text, '\[[\\]*({chat.BRACKET})')) AS size FROM t),
+    e AS (SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY turn) AS prefix FROM m)
     SELECT conv_id, count(*) AS n_turns,
       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
-      CAST(sum({len(chat.OPEN) + 1 + len(chat.CLOSE)} + length(role) + length(text) + marks) AS BIGINT) AS formatted_chars
+      CAST(sum(size) AS BIGINT) AS formatted_chars, count(*) FILTER (role = 'assistant') AS n_examples,
+      CAST(coalesce(sum(prefix) FILTER (role = 'assistant'), 0) AS BIGINT) AS prefix_chars
     FROM e GROUP BY conv_id
     """,
 )
@@ -178,7 +181,7 @@ def prefix_target_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     more = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)], turns.schema)
     found = chat.digests(chat.formatted(turns.unionByName(more)))
-    return found.select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+    return found.select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_examples", "prefix_chars")
 
 
 def trained_languages(docs: DataFrame) -> language.Model:
