@@ -37,10 +37,10 @@ def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a.astype(kind) @ b.astype(kind).T).astype(np.int64)
 
 
-def best_of(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+def best_of(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per query the k best rows other than its own id: (queries, k) positions in rows, -1 where there are fewer, and scores.
 
-    Ties go to the smaller id, as positions follow ids.
+    The third result is how many blocks each query scored. Ties go to the smaller id, as positions follow ids.
     """
     by_id = np.argsort(ids, kind="stable")
     # Blocks hold alike vectors: rows in the order of their heaviest dimension.
@@ -56,13 +56,14 @@ def best_of(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: n
     worst = np.iinfo(np.int64).min // 2  # its negative exists
     score = np.full((len(queries), k), worst)
     place = np.full((len(queries), k), np.iinfo(np.int64).max)
-    alive = np.arange(len(queries))
+    alive, visited = np.arange(len(queries)), np.zeros(len(queries), np.int64)
     for turn in range(len(starts)):
         block = visits[alive, turn]
         go = bound[alive, block] >= score[alive, k - 1]
         alive, block = alive[go], block[go]
         if not len(alive):
             break
+        visited[alive] += 1
         by_block = np.argsort(block, kind="stable")
         for part in np.split(by_block, np.flatnonzero(np.diff(block[by_block])) + 1):
             mine = alive[part]
@@ -81,7 +82,7 @@ def best_of(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: n
             pick = np.lexsort((p, -s), axis=1)[:, :k]
             score[mine], place[mine] = np.take_along_axis(s, pick, 1), np.take_along_axis(p, pick, 1)
     found = place < len(ids)
-    return np.where(found, by_id[np.minimum(place, len(ids) - 1)], -1), score
+    return np.where(found, by_id[np.minimum(place, len(ids) - 1)], -1), score, visited
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 64) -> DataFrame:
@@ -112,7 +113,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_
         query_ids = asked.column("id").to_numpy()
         out = [np.zeros(0, np.int64)] * 3
         if len(query) and len(row):
-            at, score = best_of(query, query_ids, row, ids, k)
+            at, score, _ = best_of(query, query_ids, row, ids, k)
             hit = at >= 0
             out = [np.repeat(query_ids, hit.sum(axis=1)), ids[at[hit]], score[hit]]
         return pa.table([pa.array(x, pa.int64()) for x in out], names=["query_id", "vec_id", "score"])

@@ -59,3 +59,19 @@ def test_registered_query_matches_sql(spark, sf, duck):
     from bulwark.llm.queries import QUERIES, SQL
 
     assert compare(QUERIES["op2_topk_block_pruning"](spark, sf), duck, SQL["op2_topk_block_pruning"]) == ""
+
+
+def test_clustered_sparse_vectors_skip_most_blocks(monkeypatch):
+    """Each cluster has its own dimensions: a query scores the blocks of its cluster, and few besides."""
+    np = topk.np
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 64)
+    rng = np.random.default_rng(1)
+    rows = np.zeros((40 * 128, 160), np.int64)
+    for i in range(len(rows)):
+        rows[i, 4 * (i // 128) : 4 * (i // 128) + 4] = rng.integers(20, 60, 4)
+    ids = rng.permutation(len(rows))
+    at, score, visited = topk.best_of(rows[::50], ids[::50], rows, ids, 20)
+    product = rows[::50] @ rows.T
+    product[np.arange(len(product)), np.arange(0, len(rows), 50)] = -1
+    assert (score == -np.sort(-product, axis=1)[:, :20]).all()
+    assert visited.mean() < 0.15 * (len(rows) / 64)
