@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import hashlib
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -43,12 +45,18 @@ class Phrases:
         self.symbols = np.zeros((len(held), window), np.int64)  # right-aligned
         for i, p in enumerate(held):
             self.symbols[i, window - len(p) :] = np.searchsorted(self.words, np.array(p, np.uint64)) + 1
-        self.items = [sorted(i for i in x if i is not None) for x in held.values()]
+        items = [sorted(i for i in x if i is not None) for x in held.values()]
+        self.item_at = np.concatenate(([0], np.cumsum([len(x) for x in items]))).astype(np.int64)
+        self.item_ids = np.array([i for x in items for i in x], np.int64)
         bits = max(1, min(20, len(self.words).bit_length() + 2))
         self.shift = np.uint64(64 - bits)
         self.starts = np.searchsorted(self.words >> self.shift, np.arange((1 << bits) + 1, dtype=np.uint64))
         self.most = int(np.diff(self.starts).max(initial=0))
 
+    def items_of(self, phrases: np.ndarray) -> list[int]:
+        """Ids of the items that hold any of the phrases, sorted."""
+        return np.unique(np.concatenate([self.item_ids[self.item_at[p] : self.item_at[p + 1]] for p in phrases.tolist()])).tolist()
+
     def symbols_of(self, h: np.ndarray) -> np.ndarray:
         """Symbol of each word, 0 for a word of no item."""
         lead = (h >> self.shift).astype(np.int64)
@@ -214,14 +222,14 @@ def find(docs: DataFrame, text_col: str, items: list[tuple[int, str | None]], wi
     """
     context = docs.sparkSession.sparkContext
     kept = [c for c in docs.columns if c != text_col]
-    shared = context.broadcast(items)
+    shared = context.broadcast(Phrases(items, window))  # made once for a block; a block's size is bounded
     schema = ", ".join([*[f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept],
                         "n_words long, items array<bigint>, spans array<struct<word: bigint, word_end: bigint, start: bigint, end: bigint>>"])
     span = pa.list_(pa.struct([(x, pa.int64()) for x in ("word", "word_end", "start", "end")]))
     position = docs.columns.index(text_col)
 
     def run(batches):
-        phrases = Phrases(shared.value, window)
+        phrases = shared.value
         for b in batches:
             n_words, found, spans = [], [], []
             for words in cut(b.column(position), ALNUM, SHARD_BYTES):
@@ -239,7 +247,7 @@ def find(docs: DataFrame, text_col: str, items: list[tuple[int, str | None]], wi
                         spans.append([])
                         continue
                     part = rows[r]
-                    found.append(sorted({i for p in np.unique(which[part]).tolist() for i in phrases.items[p]}))
+                    found.append(phrases.items_of(np.unique(which[part])))
                     s, e = union(start[part], end[part])
                     lead = (words.data[words.text_at[r] : words.text_at[r + 1]] & 0xC0) != 0x80
                     code = np.concatenate(([0], np.cumsum(lead)))
@@ -254,13 +262,13 @@ def find(docs: DataFrame, text_col: str, items: list[tuple[int, str | None]], wi
     return docs.mapInArrow(run, schema)
 
 
-def blocks(benchmark: DataFrame, item_col: str, text_col: str, block_words: int) -> list[list[tuple[int, str | None]]]:
-    """The benchmark in blocks of about `block_words` words at most, or one item."""
+def blocks(benchmark: DataFrame, item_col: str, text_col: str, block_words: int) -> tuple[int, Iterator[list[tuple[int, str | None]]]]:
+    """How many blocks of about `block_words` words (or one item) the benchmark has, and the blocks, fetched one by one."""
     items = benchmark.select(F.col(item_col).cast("long").alias("i"), F.col(text_col).alias("t")).where("t is not null")
     total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = max(1, -(-total // (block_words * 4)))
     dealt = items.withColumn("b", F.pmod(F.xxhash64("i", "t"), F.lit(n)))
-    return [[(r["i"], r["t"]) for r in dealt.where(F.col("b") == k).select("i", "t").collect()] for k in range(n)]
+    return n, ([(r["i"], r["t"]) for r in dealt.where(F.col("b") == k).select("i", "t").collect()] for k in range(n))
 
 
 def occurrences(
@@ -275,17 +283,18 @@ def occurrences(
     """Per row of docs: its other columns, n_words, items (sorted ids) and merged spans. Nothing is shuffled.
 
     A window is `window` neighbouring words of an item, or the whole of a shorter item. The benchmark is a stated
-    query set: block after block of it travels with the tasks, each of a bounded size; with more than one block the
+    query set: block after block of it travels with the tasks, each of a bounded size and the only one on the driver; with more than one block the
     docs are read once for each, and results are joined in the row.
     Defined cases: null texts and texts without words have no spans; null benchmark texts have no windows; items that
-    repeat a text are all reported; a null item id is not reported, though its spans are; an empty benchmark finds
+    repeat a text are all reported; item ids are numbers (cast to long, others are an error); a null item id is not
+    reported, though its spans are; an empty benchmark finds
     nothing; input columns n_words, items and spans are replaced.
     """
     added = ("n_words", "items", "spans")
     docs = docs.select(*[docs[f"`{c}`"] for c in docs.columns if c.lower() not in added])
-    parts = blocks(benchmark, item_col, bench_text_col, block_words)
-    if len(parts) == 1:
-        return find(docs, text_col, parts[0], window)
+    n, parts = blocks(benchmark, item_col, bench_text_col, block_words)
+    if n == 1:
+        return find(docs, text_col, next(parts), window)
     rest = [c for c in docs.columns if c != text_col]
     # Each block passes the text on to the next one; only the last result leaves it out.
     out = docs.withColumns({"items": F.array().cast("array<bigint>"), "spans": F.array().cast(SPANS)})
