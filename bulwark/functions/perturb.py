@@ -85,14 +85,18 @@ def _tag(name: str, i: Column) -> Column:
     return F.concat(F.lit(name + "-"), i.cast("string"))
 
 
+def one_line(text: Column) -> Column:
+    """The text with whitespace collapsed, behind one space."""
+    return F.concat(F.lit(" "), F.trim(F.regexp_replace(text, SPACE + "+", " ")))
+
+
 def word_starts(text: Column, eligible: str, limit: int = -1) -> Column:
     """The text, whitespace collapsed, cut in front of every word that matches `eligible`.
 
     The first piece is what comes before the first such word; every further piece starts with one.
     One regular expression finds the words, so no piece is built for the others.
     """
-    one_line = F.concat(F.lit(" "), F.trim(F.regexp_replace(text, SPACE + "+", " ")))
-    return F.split(one_line, rf"(?<= )(?={eligible}(?![^ ]))", limit)
+    return F.split(one_line(text), rf"(?<= )(?={eligible}(?![^ ]))", limit)
 
 
 def first_word(piece: Column) -> Column:
@@ -279,27 +283,52 @@ def chosen_synonym(options: Column, word: Column, row_id: Column, rank: Column,
     return F.when(F.size(options) > 0, same_case(one, word))
 
 
-def synonym(text: Column, row_id: Column, synonyms: Column, n: int = 3, seed: int = SEED) -> Column:
-    """Replace `n` words by synonyms from a map<word, array<synonym>> column (operators.corpus.with_synonym_map)."""
+def replaceable_words(text: Column) -> Column:
+    """The words a synonym attack may touch, each as often as it stands there."""
+    return F.regexp_extract_all(one_line(text), F.lit(rf"(?<= ){REPLACEABLE}(?![^ ])"), F.lit(0))
+
+
+def synonym_script(text: Column, row_id: Column, draws: tuple[int, ...], seed: int = SEED) -> Column:
+    """Which words synonym attacks of these sizes replace: array of (n, rank, place, word), from one cut of the text.
+
+    The place counts from 0 in the text on one line. With it an attack needs no cut of its own.
+    """
+
+    def entries(pieces: Column) -> Column:
+        def chosen(n: int) -> Column:
+            def entry(rank: Column) -> Column:
+                place = F.aggregate(F.slice(pieces, F.lit(1), (rank + 1).cast("int")), F.lit(0), lambda a, p: a + F.length(p))
+                word = first_word(F.get(pieces, (rank + 1).cast("int")))
+                return F.struct(F.lit(n).alias("n"), rank.cast("int").alias("rank"), place.alias("place"), word.alias("word"))
+
+            return F.transform(chosen_ranks(pieces, row_id, n, seed), entry)
+
+        return F.flatten(F.array(*map(chosen, draws)))
+
+    return let(word_starts(text, REPLACEABLE), entries)
+
 
-    def body(pieces: Column) -> Column:
-        def with_ranks(ranks: Column) -> Column:
-            def new_word(w: Column, rank: Column) -> Column:
-                found = let(F.try_element_at(synonyms, F.lower(w)),
-                            lambda options: chosen_synonym(options, w, row_id, rank, seed))
-                return F.when(F.array_contains(ranks, rank), found)
+def synonym(text: Column, row_id: Column, synonyms: Column, script: Column, n: int = 3, seed: int = SEED) -> Column:
+    """Replace `n` words by synonyms from a map<word, array<synonym>> column; both come from operators.corpus.with_synonym_map."""
 
-            return F.when(F.size(ranks) > 0, join_pieces(pieces, new_word)).otherwise(text)
+    def replaced(t: Column, e: Column) -> Column:
+        options = F.try_element_at(synonyms, F.lower(e["word"]))
+        new = let(options, lambda found: chosen_synonym(found, e["word"], row_id, e["rank"], seed))
+        rest = F.substring(t, e["place"] + F.length(e["word"]) + 1, F.length(t))
+        return let(new, lambda w: F.coalesce(F.concat(F.substring(t, F.lit(1), e["place"]), w, rest), t))
 
-        return let(chosen_ranks(pieces, row_id, n, seed), with_ranks)
+    def apply(edits: Column) -> Column:
+        last_first = F.reverse(F.array_sort(F.transform(edits, lambda e: F.struct(e["place"].alias("place"), e["rank"].alias("rank"), e["word"].alias("word")))))
+        new = let(F.aggregate(last_first, one_line(text), replaced), lambda t: F.substring(t, F.lit(2), F.length(t)))
+        return F.when(F.size(edits) > 0, new).otherwise(text)
 
-    return let(word_starts(text, REPLACEABLE), body)
+    return let(F.filter(script, lambda e: e["n"] == n), apply)
 
 
-def combined(text: Column, row_id: Column, synonyms: Column, seed: int = SEED) -> Column:
+def combined(text: Column, row_id: Column, synonyms: Column, script: Column, seed: int = SEED) -> Column:
     """All attacks in a row, with the strong settings."""
     steps = (
-        lambda t: synonym(t, row_id, synonyms, 8, seed),
+        lambda t: synonym(t, row_id, synonyms, script, 8, seed),
         lambda t: char_swap(t, row_id, 5, seed),
         lambda t: keyboard_typo(t, row_id, 4, seed),
         lambda t: homoglyph(t, row_id, 5, seed),
@@ -309,28 +338,28 @@ def combined(text: Column, row_id: Column, synonyms: Column, seed: int = SEED) -
     return reduce(lambda t, step: let(t, step), steps, text)
 
 
-def random_choice(text: Column, row_id: Column, synonyms: Column, seed: int = SEED) -> Column:
+def random_choice(text: Column, row_id: Column, synonyms: Column, script: Column, seed: int = SEED) -> Column:
     """One of four attacks, drawn per row."""
     return let(
         pick(row_id, "choice", 4, seed),
-        lambda k: F.when(k == 0, synonym(text, row_id, synonyms, seed=seed))
+        lambda k: F.when(k == 0, synonym(text, row_id, synonyms, script, seed=seed))
         .when(k == 1, char_swap(text, row_id, seed=seed))
         .when(k == 2, keyboard_typo(text, row_id, seed=seed))
         .otherwise(homoglyph(text, row_id, seed=seed)),
     )
 
 
-def attack_suite(text: Column, row_id: Column, synonyms: Column, seed: int = SEED) -> dict[str, Column]:
+def attack_suite(text: Column, row_id: Column, synonyms: Column, script: Column, seed: int = SEED) -> dict[str, Column]:
     """Attacks by name, in suite order."""
     return {
-        "synonym": synonym(text, row_id, synonyms, seed=seed),
+        "synonym": synonym(text, row_id, synonyms, script, seed=seed),
         "char_swap": char_swap(text, row_id, seed=seed),
         "homoglyph": homoglyph(text, row_id, seed=seed),
         "keyboard_typo": keyboard_typo(text, row_id, seed=seed),
         "char_deletion": char_delete(text, row_id, seed=seed),
         "char_insertion": char_insert(text, row_id, seed=seed),
-        "combined": combined(text, row_id, synonyms, seed),
-        "random": random_choice(text, row_id, synonyms, seed),
+        "combined": combined(text, row_id, synonyms, script, seed),
+        "random": random_choice(text, row_id, synonyms, script, seed),
     }
 
 

@@ -220,13 +220,13 @@ def perturb_synonym(spark, sf):
 @query("perturb_combined", "SELECT doc_id, t AS adv_text FROM v_x_combined")
 def perturb_combined(spark, sf):
     d = corpus.with_synonym_map(texts(spark, sf), "doc_id", "full_text", dictionary(spark, sf))
-    return d.select("doc_id", perturb.combined(text(), row_id(), F.col("_synonyms")).alias("adv_text"))
+    return d.select("doc_id", perturb.combined(text(), row_id(), F.col("_synonyms"), F.col("_script")).alias("adv_text"))
 
 
 @query("perturb_random_choice", "SELECT doc_id, t AS adv_text FROM v_x_random")
 def perturb_random_choice(spark, sf):
     d = corpus.with_synonym_map(texts(spark, sf), "doc_id", "full_text", dictionary(spark, sf))
-    return d.select("doc_id", perturb.random_choice(text(), row_id(), F.col("_synonyms")).alias("adv_text"))
+    return d.select("doc_id", perturb.random_choice(text(), row_id(), F.col("_synonyms"), F.col("_script")).alias("adv_text"))
 
 
 
@@ -257,4 +257,4 @@ _SUITE = ("synonym", "char_swap", "homoglyph", "keyboard_typo", "char_deletion",
 def attack_suite(spark, sf):
     """Every document under every attack, from one scan."""
     d = corpus.with_synonym_map(texts(spark, sf), "doc_id", "full_text", dictionary(spark, sf))
-    return corpus.perturb_corpus(d, "doc_id", perturb.attack_suite(text(), row_id(), F.col("_synonyms")))
+    return corpus.perturb_corpus(d, "doc_id", perturb.attack_suite(text(), row_id(), F.col("_synonyms"), F.col("_script")))

@@ -107,10 +107,10 @@ def test_augmentations(table, spark):
 
 def test_layout_does_not_matter(table, dictionary):
     d = corpus.with_synonym_map(table, "id", "t", dictionary)
-    suite = perturb.attack_suite(T(), I(), F.col("_synonyms"))
+    suite = perturb.attack_suite(T(), I(), F.col("_synonyms"), F.col("_script"))
     a = sorted(tuple(r) for r in corpus.perturb_corpus(d, "id", suite).collect())
     d2 = corpus.with_synonym_map(table.repartition(7, "t"), "id", "t", dictionary)
-    b = sorted(tuple(r) for r in corpus.perturb_corpus(d2, "id", perturb.attack_suite(T(), I(), F.col("_synonyms"))).collect())
+    b = sorted(tuple(r) for r in corpus.perturb_corpus(d2, "id", perturb.attack_suite(T(), I(), F.col("_synonyms"), F.col("_script"))).collect())
     assert a == b and len(a) == len(TEXTS) * 8
 
 

@@ -298,7 +298,8 @@ def test_candidates_come_from_every_attack(spark, sf):
     data = active.prepare(train, pool, test, "doc_id", "label_mapped", active.Settings())
     n = pool.count()
     assert {r["attack"]: r["count"] for r in data.hits.groupBy("attack").count().collect()} == dict.fromkeys(
-        perturb.attack_suite(F.lit("x"), F.lit(1), F.lit(None).cast("map<string,array<string>>")), n)
+        perturb.attack_suite(F.lit("x"), F.lit(1), F.lit(None).cast("map<string,array<string>>"),
+                             F.lit(None).cast("array<struct<n: int, rank: int, place: int, word: string>>")), n)
     found = active.detect(data, "doc_id", 1.01)
     assert found.count() == n and set(r[0] for r in found.select("attack").distinct().collect()) <= {"synonym", "char_swap"}
     chosen = found.orderBy("doc_id").limit(3).select("doc_id", F.lit(0).alias("model"))
