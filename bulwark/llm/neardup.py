@@ -390,6 +390,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
 
     Rows without an id stay if no document with an id is connected with them. Input columns are untouched.
     """
-    kept = judged(docs, id_col, text_col, width, percent).where("kept").select("id", "h").distinct()
-    same = docs[id_col].cast("long").eqNullSafe(kept["id"]) & (F.xxhash64(docs[text_col]) == kept["h"])
-    return docs.join(kept, same, "left_semi").dropDuplicates([id_col, text_col])
+    kept = judged(docs, id_col, text_col, width, percent).where("kept").groupBy("id", "h").agg(F.count("*").alias("n"))
+    kept = checkpointed(kept.select(F.col("id").alias("__id"), F.col("h").alias("__h"), F.col("n").alias("__n")))
+    same = docs[id_col].cast("long").eqNullSafe(kept["__id"]) & (F.xxhash64(docs[text_col]) == kept["__h"])
+    once, often = (docs.join(kept.where(which), same, "left_semi") for which in ("__n = 1", "__n > 1"))
+    # Only rows that repeat an id and a hash of the text move once more.
+    return once.unionByName(often.dropDuplicates([id_col, text_col]))
