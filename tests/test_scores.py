@@ -223,9 +223,9 @@ def test_adaptive_schedule_fold_and_step_agree(spark):
     assert [(r["iteration"], r["budget"], round(r["tau"], 9)) for r in got] == schedule(robust)
     budget, tau, prev = 50, 0.7, 0.0
     for t, x in enumerate(robust, 1):
-        budget, tau = next_settings(spark, budget, tau, x - prev, 0.2, t)
+        (budget, tau), other = next_settings(spark, [(budget, tau, x - prev, 0.2, t), (50, 0.7, 0.0, 0.2, 1)])
         prev = x
-        assert (t, budget, round(tau, 9)) == schedule(robust)[t - 1]
+        assert (t, budget, round(tau, 9)) == schedule(robust)[t - 1] and other == next_settings(spark, [(50, 0.7, 0.0, 0.2, 1)])[0]
 
 
 def test_early_stop(spark):
