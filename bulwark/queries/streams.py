@@ -15,7 +15,7 @@ SCHEMA = T.StructType([
 
 
 def documents(spark, sf):
-    stream = ingest.file_stream(spark, sf, SCHEMA, "documents.parquet")
+    stream = ingest.table_stream(spark, f"{sf.rstrip('/')}/documents.parquet", SCHEMA)
     mention = F.nullif(F.regexp_extract("text", "([A-Z][a-z]{7,})", 1), F.lit(""))
     return stream.select("doc_id", F.col("text").alias("full_text"), "source", mention.alias("mention"))
 

@@ -21,6 +21,15 @@ def file_stream(spark: SparkSession, folder: str, schema: T.StructType, glob: st
     return spark.readStream.schema(schema).option("pathGlobFilter", glob).format(fmt).load(folder)
 
 
+def table_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A Parquet table as a stream, whether its path is one file or a folder of files.
+
+    The last name is given as a pattern: a plain path would also become the base of partition folders, which a file can't be.
+    """
+    folder, _, name = path.rpartition("/")
+    return spark.readStream.schema(schema).parquet(f"{folder}/{{{name}}}")
+
+
 def fixed_bounds(train: DataFrame) -> Column:
     """The training split's bounds, read once as two numbers, for a stream to compare with."""
     row = records.sigma_thresholds(train).first()

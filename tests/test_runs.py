@@ -12,6 +12,7 @@ from bulwark.functions import perturb
 from bulwark.operators import learning, metrics, multifit, records
 from bulwark.plans import active, guard
 from bulwark.queries import learning as learning_queries
+from bulwark.queries import streams as stream_queries
 from bulwark.queries import views
 from bulwark.session import scratch_path
 from bulwark.sources import records as src
@@ -123,6 +124,16 @@ def test_stream_goes_on_from_its_checkpoint(spark, tmp_path):
     assert drain() == [("a", 200), ("b", 301), ("hot", 1)]
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_streams_read_tables_that_are_folders_of_files(spark, tmp_path, parts):
+    rows = [(i, f"Text number {i % 40} of the folder", "en", "web", 0) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
+    docs.repartition(parts).write.parquet(str(tmp_path / "documents.parquet"))
+    assert stream_queries.stream_ingest_flag(spark, str(tmp_path)).count() == 60
+    firsts = stream_queries.stream_dedup(spark, str(tmp_path)).select("doc_id").collect()
+    assert sorted(r[0] for r in firsts) == list(range(40))
+
+
 def bytes_read(spark):
     """Bytes that all finished stages have read so far."""
     jvm, sc = spark.sparkContext._jvm, spark.sparkContext._jsc.sc()
