@@ -207,6 +207,21 @@ def test_terms_that_share_a_key_travel_as_strings(spark, sf, monkeypatch):
     assert got.columns == want.columns and got.exceptAll(want).count() == 0 and got.count() == want.count()
 
 
+def test_terms_are_counted_in_hash_tables(spark, monkeypatch):
+    d = spark.createDataFrame([(1, "a b a \n"), (2, "b \u2028"), (3, None), (4, "")], "doc_id long, full_text string")
+    plans = []
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df.checkpoint()
+
+    monkeypatch.setattr(learning, "checkpointed", noted)
+    scratch_path(spark, "terms")  # sets the folder of checkpoints
+    got = {(r["doc_id"], r["term"]): (r["tf"], r["df"]) for r in learning.tfidf_terms(d, "doc_id").collect()}
+    assert got == {(1, "a"): (2, 1), (1, "b"): (1, 2), (2, "b"): (1, 2), (2, "\u2028"): (1, 1), (4, ""): (1, 1)}
+    assert plans and not any("SortAggregate" in p for p in plans)
+
+
 def test_weighted_mix(spark):
     df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "id long, l string")
     mix = learning.weighted_mix(dict.fromkeys(learning.RETRAIN_WEIGHTS, df), "l", learning.RETRAIN_WEIGHTS)
@@ -265,8 +280,7 @@ def test_certificate_of_a_fit(spark, sf):
 def test_models_with_rows_of_their_own(spark):
     """Each model's gradient is that of its rows and weights, summed plainly; blocks of several sizes hold the same."""
     rng = np.random.default_rng(3)
-    from pyspark.ml.linalg import Vectors
-
+    
     rows = [(i, int(rng.integers(-1, 3)), float(rng.integers(0, 3)), float(rng.uniform(0.1, 1)), Vectors.sparse(6, sorted(rng.choice(6, 3, replace=False).tolist()), rng.normal(size=3)))
             for i in range(40)]
     df = spark.createDataFrame(rows, ["id", "model", "label", "weight", "features"]).repartition(3)
