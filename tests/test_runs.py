@@ -5,6 +5,7 @@ import os
 
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -222,6 +223,24 @@ def test_terms_are_counted_in_hash_tables(spark, monkeypatch):
     assert plans and not any("SortAggregate" in p for p in plans)
 
 
+def test_a_fit_sends_as_many_gradients_as_the_cores_ask_for(spark, monkeypatch):
+    rows = [(i, i % 2, Vectors.sparse(3, {i % 2: 1.0, 2: float(i % 5)})) for i in range(400)]
+    table = spark.createDataFrame(rows, ["id", "label", "features"]).repartition(90, "id")
+    scale = multifit.deviations(table)
+    blocks = multifit.packed(table.withColumns({"model": F.lit(multifit.ALL), "weight": F.lit(1.0)}), "id", scale)
+    own = blocks.where("false").unionByName(blocks)
+    seen, losses = [], multifit.losses
+
+    def noted(blocks, *a):
+        seen.append(blocks.rdd.getNumPartitions())
+        return losses(blocks, *a)
+
+    monkeypatch.setattr(multifit, "losses", noted)
+    found = multifit.fit(own, np.ones((2, 2)), scale, 0.1)
+    assert max(seen) <= multifit.SCAN_TASKS * spark.sparkContext.defaultParallelism < own.rdd.getNumPartitions()
+    assert found.gradient.max() <= multifit.TOLERANCE and np.array_equal(found.theta[0], found.theta[1])
+
+
 def test_weighted_mix(spark):
     df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "id long, l string")
     mix = learning.weighted_mix(dict.fromkeys(learning.RETRAIN_WEIGHTS, df), "l", learning.RETRAIN_WEIGHTS)
@@ -280,7 +299,8 @@ def test_certificate_of_a_fit(spark, sf):
 def test_models_with_rows_of_their_own(spark):
     """Each model's gradient is that of its rows and weights, summed plainly; blocks of several sizes hold the same."""
     rng = np.random.default_rng(3)
-    
+    from pyspark.ml.linalg import Vectors
+
     rows = [(i, int(rng.integers(-1, 3)), float(rng.integers(0, 3)), float(rng.uniform(0.1, 1)), Vectors.sparse(6, sorted(rng.choice(6, 3, replace=False).tolist()), rng.normal(size=3)))
             for i in range(40)]
     df = spark.createDataFrame(rows, ["id", "model", "label", "weight", "features"]).repartition(3)
