@@ -18,8 +18,12 @@ def _train_and_rest(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def label_and_encode(df: DataFrame, top_k: int) -> DataFrame:
-    """Labels reduced by the training split, codes over the labels of all splits."""
-    return records.encode_labels(records.reduce_labels(df, "label_id", top_k))
+    """Labels reduced by the training split, codes over the labels of all splits.
+
+    The codes travel to the texts: dealt by label, the largest label's texts would meet in one task.
+    """
+    reduced = records.reduce_labels(df, "label_id", top_k)
+    return records.encode_labels(reduced, dictionary=F.broadcast(records.label_dictionary(reduced)))  # top_k + 1 rows
 
 
 def prep(variants: DataFrame, row_id: str, top_k: int = 15, other_rows: int = 600, seed: int = SEED) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from bulwark.functions import perturb
 from bulwark.operators import learning, metrics, multifit, records
-from bulwark.plans import active, guard
+from bulwark.plans import active, guard, prep
 from bulwark.queries import learning as learning_queries
 from bulwark.queries import streams as stream_queries
 from bulwark.queries import views
@@ -241,6 +241,22 @@ def test_a_fit_sends_as_many_gradients_as_the_cores_ask_for(spark, monkeypatch):
     assert found.gradient.max() <= multifit.TOLERANCE and np.array_equal(found.theta[0], found.theta[1])
 
 
+def test_labels_are_encoded_where_the_texts_are(spark):
+    kinds = [*["big"] * 4, *["mid"] * 3, "rare"]
+    rows = [(i, f"text {i}", None if i == 7 else kinds[i % 8], "train" if i % 5 else "test") for i in range(80)]
+    df = spark.createDataFrame(rows, "id long, full_text string, label_id string, split string")
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = prep.label_and_encode(df, 2)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        codes = {(r["label_mapped"], r["label_id_encoded"]) for r in out.collect()}
+        assert "SortMergeJoin" not in plan and out.count() == 80
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert codes == {("OTHER", 0), ("big", 1), ("mid", 2)}
+
+
 def test_weighted_mix(spark):
     df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "id long, l string")
     mix = learning.weighted_mix(dict.fromkeys(learning.RETRAIN_WEIGHTS, df), "l", learning.RETRAIN_WEIGHTS)
