@@ -256,5 +256,6 @@ _SUITE = ("synonym", "char_swap", "homoglyph", "keyboard_typo", "char_deletion",
     f"SELECT doc_id, '{a}' AS attack, {i} AS attack_order, t AS adv_text FROM v_x_{a}" for i, a in enumerate(_SUITE)))
 def attack_suite(spark, sf):
     """Every document under every attack, from one scan."""
-    d = corpus.with_synonym_map(texts(spark, sf), "doc_id", "full_text", dictionary(spark, sf))
-    return corpus.perturb_corpus(d, "doc_id", perturb.attack_suite(text(), row_id(), F.col("_synonyms"), F.col("_script")))
+    d = corpus.with_synonym_map(texts(spark, sf), "doc_id", "full_text", dictionary(spark, sf)).withColumn("_line", perturb.one_line(text()))
+    suite = perturb.attack_suite(text(), row_id(), F.col("_synonyms"), F.col("_script"), line=F.col("_line"))
+    return corpus.perturb_corpus(d, "doc_id", suite)

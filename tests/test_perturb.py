@@ -151,3 +151,16 @@ def test_edits_are_linear_in_the_text(spark):
         return best
 
     assert seconds(800_000) < 5 * seconds(200_000) + 0.5
+
+
+def test_attacks_from_a_shared_line_are_the_same(table, dictionary):
+    d = corpus.with_synonym_map(table, "id", "t", dictionary).withColumn("_line", perturb.one_line(T()))
+    d = d.unionByName(d.withColumns({"id": F.col("id") + 100, "_script": F.lit(None), "_synonyms": F.lit(None)}))
+    plain, shared = (perturb.attack_suite(T(), I(), F.col("_synonyms"), F.col("_script"), line=x) for x in (None, F.col("_line")))
+    of = lambda suite: sorted(tuple(r) for r in corpus.perturb_corpus(d, "id", suite).collect())
+    assert of(plain) == of(shared) and all(r[-1] is not None for r in of(shared))
+    step = d.where("_script is not null").select("id", perturb.synonym(T(), I(), F.col("_synonyms"), F.col("_script"), 8).alias("t"))
+    for edit, n in ((perturb.char_swap, 5), (perturb.keyboard_typo, 4), (perturb.homoglyph, 5), (perturb.char_delete, 3), (perturb.char_insert, 3)):
+        step = step.withColumn("t", edit(T(), I(), n)).localCheckpoint()
+    alone = {r["id"]: r["t"] for r in step.collect()}
+    assert alone.items() <= run(d, shared["combined"]).items() and len(alone) == len(TEXTS)
