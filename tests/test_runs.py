@@ -369,6 +369,18 @@ def test_candidates_come_from_every_attack(spark, sf):
     assert data.class_rows.sum() == train.count()
 
 
+def test_first_hits_are_found_without_their_features(spark, monkeypatch):
+    v, seen, find = lambda *x: Vectors.sparse(2, [0, 1], x), [], active.sel.candidates
+    pool = spark.createDataFrame([(1, 0.0, v(1, 3)), (2, 1.0, v(3, 1))], ["doc_id", "label", "features"])
+    hits = spark.createDataFrame([(i, 0.0, a, n, f"{i}{a}", v(i, n + 1)) for i, a, n in (
+        (1, "b", 1), (1, "a", 0), (2, "b", 1), (2, "c", 2), (2, "b", 1))], ["doc_id", "label", "attack", "attack_order", "copy_key", "features"])
+    first = multifit.Models(np.zeros((1, 2, 3)), np.ones(2), np.zeros(1), np.zeros(1))
+    data = active.Prepared(pool, hits.localCheckpoint(), None, None, None, np.ones(2), np.ones(2), first)
+    monkeypatch.setattr(active.sel, "candidates", lambda df, *a: seen.append(df.columns) or find(df, *a))
+    found = {r["doc_id"]: (r["attack"], r["features"].toArray().tolist()) for r in active.detect(data, "doc_id", 0.7).collect()}
+    assert found == {1: ("a", [1.0, 1.0]), 2: ("b", [2.0, 2.0])} and "features" not in seen[0]
+
+
 def test_runs_together_are_the_runs_alone(spark, sf):
     """Several settings in one scan give the timelines that each gives by itself."""
     train, pool, test = learning_queries.train_test(spark, sf)
