@@ -241,6 +241,26 @@ def test_a_fit_sends_as_many_gradients_as_the_cores_ask_for(spark, monkeypatch):
     assert found.gradient.max() <= multifit.TOLERANCE and np.array_equal(found.theta[0], found.theta[1])
 
 
+def test_an_mllib_fit_sends_as_many_gradients_as_the_cores_ask_for(spark, monkeypatch):
+    rows = [(float(i % 2), Vectors.sparse(3, {i % 2: 1.0, 2: float(i % 5)})) for i in range(400)]
+    most, seen = multifit.SCAN_TASKS * spark.sparkContext.defaultParallelism, []
+    own = spark.createDataFrame(rows, ["label", "features"])
+    many, few = own.repartition(most + 50), own.repartition(2)
+    real = learning.classifier()
+
+    class Noted:
+        def fit(self, rows):
+            seen.append((rows.rdd.getNumPartitions(), rows.count()))
+            return real.fit(rows)
+
+    monkeypatch.setattr(learning, "classifier", lambda weight=None: Noted())
+    models = [learning.fit_classifier(t) for t in (many, few)]
+    assert many.rdd.getNumPartitions() > most
+    assert seen == [(most, 400), (2, 400)]  # a table of few partitions keeps them
+    a, b = (m.coefficientMatrix.toArray() for m in models)
+    assert np.abs(a - b).max() < 1e-3
+
+
 def test_labels_are_encoded_where_the_texts_are(spark):
     kinds = [*["big"] * 4, *["mid"] * 3, "rare"]
     rows = [(i, f"text {i}", None if i == 7 else kinds[i % 8], "train" if i % 5 else "test") for i in range(80)]
