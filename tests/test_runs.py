@@ -223,6 +223,28 @@ def test_terms_are_counted_in_hash_tables(spark, monkeypatch):
     assert plans and not any("SortAggregate" in p for p in plans)
 
 
+def test_blocks_keep_rare_terms_sparse(spark):
+    """A block's dense part holds frequent terms only, so a scan costs about its entries; both parts together are all features."""
+    rng = np.random.default_rng(5)
+    rows = [(i, float(i % 3), 1.0, Vectors.sparse(2000, {t: float(rng.normal()) for t in {0, i % 9, *rng.integers(0, 2000, 12).tolist()}}))
+            for i in range(300)]
+    table = spark.createDataFrame([*rows, (300, 0.0, 1.0, Vectors.sparse(2000, {}))], ["id", "label", "weight", "features"]).coalesce(1)
+    scale, theta = rng.uniform(0.5, 2, 2000), rng.normal(size=(2, 3, 2001))
+    packed = multifit.packed(active.of_all(table), "id", scale)
+    (block,) = multifit.blocks_of(packed.toArrow().to_batches())
+    x = np.array([r["features"].toArray() * scale for r in table.collect()])
+    entries = np.count_nonzero(x)
+    assert len(block.x) and len(block.dense_terms) and block.dense.size <= multifit.SPARSE * entries
+    t, p = multifit.by_term(theta), rng.normal(size=(301, 6))
+    g = np.ones((2001, 6))
+    block.add_gradient(p, g)
+    assert np.allclose(block.logits(t), x @ t[:-1] + t[-1])
+    assert np.allclose(g[:-1] - 1, x.T @ p) and np.allclose(g[-1] - 1, p.sum(axis=0))
+    once, twice = (sorted((r["id"], r["model"], r["label"], *np.round(r["probs"], 9)) for r in df.collect()) for df in (
+        multifit.scored_rows(table, "id", scale, theta), multifit.scored(packed, theta)))
+    assert once == twice and len(once) == 602
+
+
 def test_a_fit_sends_as_many_gradients_as_the_cores_ask_for(spark, monkeypatch):
     rows = [(i, i % 2, Vectors.sparse(3, {i % 2: 1.0, 2: float(i % 5)})) for i in range(400)]
     table = spark.createDataFrame(rows, ["id", "label", "features"]).repartition(90, "id")
