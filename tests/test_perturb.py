@@ -164,3 +164,26 @@ def test_attacks_from_a_shared_line_are_the_same(table, dictionary):
         step = step.withColumn("t", edit(T(), I(), n)).localCheckpoint()
     alone = {r["id"]: r["t"] for r in step.collect()}
     assert alone.items() <= run(d, shared["combined"]).items() and len(alone) == len(TEXTS)
+
+
+def test_first_words_are_found_in_the_head(spark):
+    """The head is searched first; words at its edge, or too few in it, are found as in the whole line."""
+    texts = [*TEXTS, "a b " * 10 + "lonely words " * 3, "short alphabets everywhere", "x " * 20 + "exactly1 exactly", "alpha beta gamma", ""]
+    d = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None])], "id long, t string").withColumn("l", perturb.one_line(T())).cache()
+    for n in (1, 2, 3):
+        for head in (5, 11, 12, 13, 17, 18, 40, 60, perturb.HEAD):
+            pair = d.select(perturb.first_starts(F.col("l"), perturb.letters(5), n, head), perturb.word_starts(F.col("l"), perturb.letters(5), n + 1))
+            assert all(a == b for a, b in pair.collect())
+
+
+def test_the_random_attack_is_one_of_those_made(spark):
+    from bulwark.plans import active
+
+    d = spark.createDataFrame([(i, t, "c") for i, t in enumerate(TEXTS * 3)], "id long, t string, label string").withColumnRenamed("t", "full_text")
+    rows = active.attacked(d, "id", "label", 42)
+    assert "_keyboard_typo_text" in rows._jdf.queryExecution().analyzed().toString()
+    mapped = corpus.with_synonym_map(d, "id", "full_text", corpus.word_groups(d, "full_text"), seed=42)
+    suite = perturb.attack_suite(F.col("full_text"), I(), F.col("_synonyms"), F.col("_script"), 42)
+    plain = corpus.perturb_corpus(mapped, "id", suite, ("label",)).withColumnRenamed("adv_text", "full_text")
+    found, wanted = (sorted(tuple(r[c] for c in plain.columns) for r in x.collect()) for x in (rows, plain))
+    assert found == wanted and len(found) == 8 * 3 * len(TEXTS)

@@ -223,6 +223,21 @@ def test_terms_are_counted_in_hash_tables(spark, monkeypatch):
     assert plans and not any("SortAggregate" in p for p in plans)
 
 
+def test_hashing_is_that_of_the_stages(spark):
+    """Vectors of all kinds of texts equal Tokenizer's and HashingTF's, without their functions in the plan."""
+    from pyspark.ml import PipelineModel
+
+    texts = ["", " ", "a", " a", "a ", "a  b", "A\tB\nC\x0bD\fE\rF", "ΑΣ ΑΣ. ΟΔΥΣΣΕΥΣ Σ ΣΑ", "İstanbul ẞ ǅ Ⅷ", "a b\u0085c\u2028d", "\n\n", "日本語 テスト",
+             "x" * 1001, "\U0001F600 \U00010400 Ꭰ ჿ Ა", "one two one  two " * 300, None]
+    for some in (texts, ["\n "], ["", ""]):
+        d = spark.createDataFrame([(i, t, "l", None) for i, t in enumerate(some)], "doc_id long, full_text string, label string, more array<int>").coalesce(1)
+        ours = learning.hashing(d, "label", ("doc_id", "more"))
+        theirs = PipelineModel(stages=learning.hashing_stages()).transform(d.dropna(subset=["full_text"])).select(*ours.columns)
+        assert ours.schema["raw_features"].dataType == theirs.schema["raw_features"].dataType
+        assert [(r["doc_id"], r["raw_features"]) for r in ours.collect()] == [(r["doc_id"], r["raw_features"]) for r in theirs.collect()]
+        assert "MapInArrow" in plan_of(ours) and plan_of(ours).count("UDF") < plan_of(theirs).count("UDF")
+
+
 def test_blocks_keep_rare_terms_sparse(spark):
     """A block's dense part holds frequent terms only, so a scan costs about its entries; both parts together are all features."""
     rng = np.random.default_rng(5)
